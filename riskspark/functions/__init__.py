@@ -7,7 +7,10 @@ from riskspark.functions.scalars import (
     is_infinite,
     ratio,
     sigmoid,
+    sql_literal,
+    sql_name,
     stripped,
+    texts_that_apply,
     tied_with_best,
     to_rows,
 )
@@ -19,7 +22,10 @@ __all__ = [
     "is_infinite",
     "ratio",
     "sigmoid",
+    "sql_literal",
+    "sql_name",
     "stripped",
+    "texts_that_apply",
     "tied_with_best",
     "to_rows",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,25 @@ TIE_ABSOLUTE = 1e-12
 TIE_RELATIVE = 1e-5
 
 
+def sql_literal(value: str | int | float | bool | None) -> str:
+    """A value as SQL text, for generated expressions with many constants."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(value, float):
+        return f"{value!r}D" if isfinite(value) else f"double('{value!r}')"
+    return str(value)
+
+
+def sql_name(column: str) -> str:
+    quoted = column.replace("`", "``")
+    return f"`{quoted}`"
+
+
 def ratio(numerator: Column, denominator: Column, default: float | None = None) -> Column:
     """Double division; ``default`` (NULL if not given) where the denominator is 0."""
     value = F.try_divide(numerator.cast("double"), denominator.cast("double"))
@@ -53,9 +73,26 @@ def drift_level(value: Column) -> Column:
     )
 
 
+# The characters of the Unicode White_Space property.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def stripped(text: Column) -> Column:
     """Text without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
+def texts_that_apply(texts: Sequence[tuple[str, Column]]) -> Column:
+    """Array of the texts whose condition holds, in order; the texts hold no comma.
+
+    ``concat_ws`` skips NULLs in generated code, where filtering an array by a
+    lambda would interpret it element by element.
+    """
+    joined = F.concat_ws(",", *[F.when(condition, F.lit(text)) for text, condition in texts])
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
 
 
 def to_rows(wide: DataFrame, entries: Sequence[tuple], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
-from riskspark.functions import close_to, is_finite, sigmoid
-from riskspark.operators.encode import scaled
+from riskspark.functions import close_to, is_finite, sigmoid, sql_literal, sql_name
 
 # Reason codes, tolerance and number of reasons per direction.
 REASON_CODES = {
@@ -75,21 +74,26 @@ class LinearModel:
         return self
 
 
-def feature_contribution(model: LinearModel, feature: str) -> Column:
-    """Log-odds that one source feature adds; an unknown category adds nothing."""
+def contribution_sql(model: LinearModel, feature: str) -> str:
+    """Log-odds that one source feature adds, as SQL; an unknown category adds nothing."""
+    name = sql_name(feature)
     if feature in model.numeric:
-        mean, std, coefficient = model.numeric[feature]
-        return scaled(F.col(feature), mean, std) * F.lit(float(coefficient))
+        mean, std, coefficient = (sql_literal(float(x)) for x in model.numeric[feature])
+        return f"(cast({name} as double) - {mean}) / {std} * {coefficient}"
     terms = model.categorical[feature]
     if not terms:
-        return F.lit(0.0)
-    table = F.create_map(*[F.lit(x) for level, c in terms.items() for x in (level, float(c))])
-    return F.coalesce(F.try_element_at(table, F.col(feature).cast("string")), F.lit(0.0))
+        return "0.0D"
+    cases = " ".join(f"WHEN {sql_literal(x)} THEN {sql_literal(float(c))}" for x, c in terms.items())
+    return f"CASE cast({name} as string) {cases} ELSE 0.0D END"
+
+
+def feature_contribution(model: LinearModel, feature: str) -> Column:
+    return F.expr(contribution_sql(model, feature))
 
 
 def logit(model: LinearModel) -> Column:
-    terms = [feature_contribution(model, f) for f in model.features]
-    return sum(terms, F.lit(float(model.intercept)))
+    terms = [f"({contribution_sql(model, f)})" for f in model.features]
+    return F.expr(" + ".join([sql_literal(float(model.intercept)), *terms]))
 
 
 def score_linear(df: DataFrame, model: LinearModel) -> DataFrame:
@@ -120,98 +124,94 @@ def direction(contribution: Column) -> Column:
 
 def contributions(df: DataFrame, model: LinearModel, *, id: str = "external_id") -> DataFrame:
     """Long rows ``(id, feature, contribution, direction)``, summed per source feature."""
-    terms = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), feature_contribution(model, f).alias("contribution"))
-            for f in model.features
-        ]
-    )
-    long = df.select(F.col(id), F.inline(terms))
+    entries = [f"struct({sql_literal(f)} as feature, {contribution_sql(model, f)} as contribution)" for f in model.features]
+    long = df.select(F.col(id), F.expr(f"inline(array({', '.join(entries)}))"))
     return long.withColumn("direction", direction(F.col("contribution")))
 
 
 def encoded_contributions(df: DataFrame, model: LinearModel, *, id: str = "external_id") -> DataFrame:
     """Long rows per encoded feature: every level of every category, zeros included."""
 
-    def entry(encoded: str, source: str) -> Column:
-        if source in model.numeric:
-            value = feature_contribution(model, source)
-        else:
+    def entry(encoded: str, source: str) -> str:
+        value = contribution_sql(model, source)
+        if source in model.categorical:
             level = encoded.removeprefix(f"categorical__{source}_")
-            value = F.when(
-                F.col(source).cast("string") == F.lit(level),
-                F.lit(float(model.categorical[source][level])),
-            ).otherwise(0.0)
-        return F.struct(
-            F.lit(encoded).alias("encoded_feature"),
-            F.lit(source).alias("feature"),
-            value.alias("contribution"),
+            value = (
+                f"CASE cast({sql_name(source)} as string) WHEN {sql_literal(level)}"
+                f" THEN {sql_literal(float(model.categorical[source][level]))} ELSE 0.0D END"
+            )
+        return (
+            f"struct({sql_literal(encoded)} as encoded_feature, {sql_literal(source)} as feature,"
+            f" {value} as contribution)"
         )
 
-    terms = F.array(*[entry(encoded, source) for encoded, source in model.encoded_features])
-    long = df.select(F.col(id), F.inline(terms))
+    entries = ", ".join(entry(encoded, source) for encoded, source in model.encoded_features)
+    long = df.select(F.col(id), F.expr(f"inline(array({entries}))"))
     return long.withColumn("direction", direction(F.col("contribution")))
 
 
-def _reason_candidates(df: DataFrame, model: LinearModel) -> Column:
-    def candidate(position: int, feature: str) -> Column:
-        number = isinstance(df.schema[feature].dataType, T.NumericType)
-        value = F.col(feature)
-        return F.struct(
-            feature_contribution(model, feature).alias("contribution"),
-            F.lit(position).alias("position"),
-            F.lit(model.codes[feature]).alias("code"),
-            F.lit(feature).alias("feature"),
-            (value if number else F.lit(None)).cast("double").alias("value_num"),
-            (F.lit(None) if number else value).cast("string").alias("value_str"),
-        )
-
-    return F.array(*[candidate(i, f) for i, f in enumerate(model.features)])
+REASON_FIELDS = ("code", "feature", "value_num", "value_str", "direction", "contribution")
 
 
-def _ranked(candidates: Column, wanted: str, top: int) -> Column:
-    """The strongest reasons of one direction; ties keep the feature order."""
-    sign = -1.0 if wanted == INCREASES else 1.0
-    chosen = F.filter(candidates, lambda r: direction(r["contribution"]) == wanted)
-    keyed = F.transform(
-        chosen,
-        lambda r: F.struct((r["contribution"] * sign).alias("key"), r["position"].alias("position"), r.alias("reason")),
-    )
-    best = F.slice(F.array_sort(keyed), 1, top)
-    return F.transform(
-        best,
-        lambda k: F.struct(
-            k["reason"]["code"].alias("code"),
-            k["reason"]["feature"].alias("feature"),
-            k["reason"]["value_num"].alias("value_num"),
-            k["reason"]["value_str"].alias("value_str"),
-            F.lit(wanted).alias("direction"),
-            k["reason"]["contribution"].alias("contribution"),
-        ),
+def _reason(position: int, feature: str, code: str, number: bool) -> str:
+    """One reason as SQL, with the term at its position as contribution."""
+    value = f"cast({sql_name(feature)} as {'double' if number else 'string'})"
+    term, limit = f"_terms[{position}]", sql_literal(CONTRIBUTION_TOLERANCE)
+    return (
+        f"struct({sql_literal(code)} as code, {sql_literal(feature)} as feature,"
+        f" {value if number else 'cast(NULL as double)'} as value_num,"
+        f" {'cast(NULL as string)' if number else value} as value_str,"
+        f" CASE WHEN {term} > {limit} THEN {sql_literal(INCREASES)}"
+        f" WHEN {term} < -{limit} THEN {sql_literal(DECREASES)} ELSE {sql_literal(NEUTRAL)} END as direction,"
+        f" {term} as contribution)"
     )
 
 
 def explain_linear(df: DataFrame, model: LinearModel, *, top: int = TOP_REASONS) -> DataFrame:
-    """Add reconstructed logit and probability and the two ranked reason arrays."""
+    """Add reconstructed logit and probability and the two ranked reason arrays.
+
+    All reasons of a row are built once. Only small (contribution, place) pairs
+    are sorted, once for both directions: read from the front they give the
+    increasing reasons, from the back the decreasing ones. The place of a
+    negative term is negated, so that ties keep the feature order both ways.
+    """
     if top <= 0:
         raise ContractError("the number of reasons must be positive")
-    with_candidates = df.withColumn("_candidates", _reason_candidates(df, model))
-    total = F.aggregate(
-        F.col("_candidates"),
-        F.lit(float(model.intercept)),
-        lambda sum_, r: sum_ + r["contribution"],
+    terms = ", ".join(contribution_sql(model, f) for f in model.features)
+    reasons = ", ".join(
+        _reason(i, f, model.codes[f], isinstance(df.schema[f].dataType, T.NumericType))
+        for i, f in enumerate(model.features)
     )
+    total = " + ".join(
+        [sql_literal(float(model.intercept)), *[f"_terms[{i}]" for i in range(len(model.features))]]
+    )
+    limit = sql_literal(CONTRIBUTION_TOLERANCE)
+
+    def strongest(pairs: str, condition: str) -> Column:
+        return F.expr(
+            f"transform(slice(filter({pairs}, p -> {condition}), 1, {top}), p -> _reasons[abs(p.place)])"
+        )
+
     return (
-        with_candidates.withColumn("reconstructed_logit", total)
+        df.withColumn("_terms", F.expr(f"array({terms})"))
+        .withColumns(
+            {
+                "reconstructed_logit": F.expr(total),
+                "_reasons": F.expr(f"array({reasons})"),
+                "_pairs": F.expr(
+                    "sort_array(transform(_terms, (t, i) -> struct(-t as weight, IF(t < 0, -i, i) as place)))"
+                ),
+            }
+        )
         .withColumns(
             {
                 "reconstructed_probability": sigmoid(F.col("reconstructed_logit")),
                 "explanation_finite": is_finite(F.col("reconstructed_logit")),
-                "increasing_reasons": _ranked(F.col("_candidates"), INCREASES, top),
-                "decreasing_reasons": _ranked(F.col("_candidates"), DECREASES, top),
+                "increasing_reasons": strongest("_pairs", f"p.weight < -{limit}"),
+                "decreasing_reasons": strongest("reverse(_pairs)", f"p.weight > {limit}"),
             }
         )
-        .drop("_candidates")
+        .drop("_terms", "_reasons", "_pairs")
     )
 
 
@@ -231,16 +231,12 @@ def reconstruction_ok() -> Column:
 
 def top_reasons(explained: DataFrame, *, id: str = "external_id") -> DataFrame:
     """The reason arrays as rows ``(id, direction, rank, code, ...)``."""
-    both = F.concat(
-        *[
-            F.transform(
-                F.col(f"{name}_reasons"),
-                lambda r, i: F.struct((i + 1).alias("rank"), *[r[f].alias(f) for f in REASON_FIELDS]),
-            )
-            for name in ("increasing", "decreasing")
-        ]
+    sides = [
+        explained.select(F.col(id), F.posexplode_outer(f"{name}_reasons").alias("_place", "_reason"))
+        for name in ("increasing", "decreasing")
+    ]
+    # The outer form keeps the optimizer from repeating the arrays in a filter.
+    rows = sides[0].unionByName(sides[1]).filter(F.col("_reason").isNotNull())
+    return rows.select(
+        id, (F.col("_place") + 1).alias("rank"), *[F.col(f"_reason.{f}").alias(f) for f in REASON_FIELDS]
     )
-    return explained.select(F.col(id), F.inline(both))
-
-
-REASON_FIELDS = ("code", "feature", "value_num", "value_str", "direction", "contribution")

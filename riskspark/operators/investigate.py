@@ -55,7 +55,7 @@ def evidence(increasing: Column, decreasing: Column) -> Column:
     return F.transform(
         F.concat(increasing, decreasing),
         lambda r, i: F.struct(
-            F.format_string("evidence-%03d", i + 1).alias("evidence_id"),
+            F.concat(F.lit("evidence-"), F.lpad((i + 1).cast("string"), 3, "0")).alias("evidence_id"),
             F.lit("reason_code").alias("evidence_type"),
             F.lit("model_explanation").alias("source"),
             r["feature"].alias("feature"),
@@ -70,7 +70,8 @@ def evidence(increasing: Column, decreasing: Column) -> Column:
 
 def evidence_rows(report: DataFrame, *, id: str = "external_id") -> DataFrame:
     """The evidence arrays as one row per entry."""
-    return report.select(F.col(id), F.inline("evidence"))
+    # The outer form keeps the optimizer from repeating the array in a filter.
+    return report.select(F.col(id), F.inline_outer("evidence")).filter(F.col("evidence_id").isNotNull())
 
 
 def decision(prediction: Column) -> Column:

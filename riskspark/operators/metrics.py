@@ -376,20 +376,25 @@ def select_threshold(
 
 
 def choose_threshold(sweep: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
-    """Apply the selection policy to a table of swept thresholds."""
+    """Apply the selection policy to a written table of swept thresholds.
+
+    Each cut needs the best value of the one before: three small aggregates,
+    of which only the best values come to the driver.
+    """
     eligible = F.col("recall") >= F.lit(float(target_recall))
-    satisfied = sweep.agg(F.coalesce(F.bool_or(eligible), F.lit(False))).scalar()
-    pool = (
-        sweep.withColumn("constraint_satisfied", satisfied)
-        .filter(eligible | ~F.col("constraint_satisfied"))
-        .withColumn("_first", F.when(F.col("constraint_satisfied"), F.col("precision")).otherwise(F.col("recall")))
-        .withColumn("_second", F.when(F.col("constraint_satisfied"), F.col("recall")).otherwise(F.col("precision")))
-    )
-    for rank in ("_first", "_second"):
-        pool = pool.filter(tied_with_best(F.col(rank), pool.agg(F.max(rank)).scalar()))
-    highest = pool.agg(F.max_by(F.struct(*sweep.columns, "constraint_satisfied"), "threshold").alias("best"))
+    found = sweep.agg(
+        F.max(F.when(eligible, F.col("precision"))).alias("precision"), F.max("recall").alias("recall")
+    ).first()
+    satisfied = found["precision"] is not None
+    order = ("precision", "recall") if satisfied else ("recall", "precision")
+    pool = sweep.filter(eligible) if satisfied else sweep
+    pool = pool.filter(tied_with_best(F.col(order[0]), F.lit(found[order[0]])))
+    second = pool.agg(F.max(order[1])).first()[0]
+    pool = pool.filter(tied_with_best(F.col(order[1]), F.lit(second)))
+    highest = pool.agg(F.max_by(F.struct(*sweep.columns), "threshold").alias("best"))
     return highest.select("best.*").withColumns(
         {
+            "constraint_satisfied": F.lit(satisfied),
             "target_recall": F.lit(float(target_recall)),
             "selection_policy": F.lit(SELECTION_POLICY),
         }

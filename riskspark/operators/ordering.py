@@ -7,7 +7,7 @@ own, and only one row per chunk is summed across chunks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -121,13 +121,15 @@ def order_statistics(
     df: DataFrame,
     time: str,
     id: str,
-    positions: Sequence[int],
+    positions: Callable[[int], Sequence[int]],
     *,
     task_rows: int = 1_000_000,
     fanout: int = 4096,
 ) -> list[tuple[str, object]]:
     """Keys ``(time as text, id)`` of the rows at 1-based positions of the order (time, id).
 
+    ``positions`` gives the wanted positions from the number of rows.
+
     No row is shuffled to find them: each pass counts rows per time slice
     inside the slices that still hold a wanted position, until a slice is small
     enough to sort. A single instant with too many rows is ranked by id over
@@ -155,11 +157,12 @@ def order_statistics(
     def distinct_ranges(searches: Sequence[_Search]) -> list[_Search]:
         return list({(s.low, s.high): s for s in searches}.values())
 
-    first = keys.agg(F.count("_micros"), F.min("_micros"), F.max("_micros")).first()
-    rows, low, high = first
-    if any(not 1 <= p <= rows for p in positions):
+    first = keys.agg(F.count(F.lit(1)), F.count("_micros"), F.min("_micros"), F.max("_micros")).first()
+    total, rows, low, high = first
+    wanted_positions = list(positions(total))
+    if any(not 1 <= p <= rows for p in wanted_positions):
         raise ContractError("a position lies outside the rows that have a time")
-    searches = [_Search(p, low, high, 0, rows) for p in positions]
+    searches = [_Search(p, low, high, 0, rows) for p in wanted_positions]
 
     while wide := [s for s in searches if s.rows > task_rows and s.low < s.high]:
         ranges = distinct_ranges(wide)
@@ -212,7 +215,7 @@ def order_statistics(
             F.col(time).cast("string"), F.col(id)
         )
         found[search.position] = tuple(row.first())
-    return [found[p] for p in positions]
+    return [found[p] for p in wanted_positions]
 
 
 def at_or_before(df: DataFrame, time: str, id: str, key: tuple[str, object]) -> Column:

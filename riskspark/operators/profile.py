@@ -205,7 +205,7 @@ def iqr_outliers(
 def correlations(
     df: DataFrame, columns: Sequence[str] | None = None, *, contract: Contract = DEFAULT_CONTRACT
 ) -> DataFrame:
-    """Pearson matrix as rows ``(left, right, r)``, pairwise complete, from one aggregate.
+    """Pearson matrix as rows ``(left, right, r)``, pairwise complete, from one pass.
 
     NULL where a column does not vary; ``corr`` would raise there in ANSI mode.
     """
@@ -213,20 +213,26 @@ def correlations(
     clean = nan_to_null(df.select(*columns))
     data = clean.select(*[F.col(c).cast("double").alias(c) for c in columns])
 
-    def pair(a: str, b: str) -> Column:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
-        return ratio(F.covar_pop(a, b), spread)
-
-    pairs = list(combinations(columns, 2))
-    wide = data.agg(
-        *[pair(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"_d{i}") for i, c in enumerate(columns)],
+    pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
+    entries = F.array(
+        *[
+            F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    # Rows multiply by the pairs only up to the partial aggregate of the same task.
+    r = (
+        data.select(F.inline(entries))
+        .filter(both)
+        .groupBy("pair")
+        .agg(ratio(F.covar_pop("x", "y"), spread).alias("r"))
     )
-    entries = [(F.lit(c), F.lit(c), F.col(f"_d{i}")) for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        entries += [(F.lit(a), F.lit(b), F.col(f"_r{i}")), (F.lit(b), F.lit(a), F.col(f"_r{i}"))]
-    return to_rows(wide, entries, ["left", "right", "r"])
+    wide = r.agg(*[F.max(F.when(F.col("pair") == i, F.col("r"))).alias(f"_r{i}") for i in range(len(pairs))])
+    rows = [(F.lit(a), F.lit(b), F.col(f"_r{i}")) for i, (a, b) in enumerate(pairs)]
+    mirrored = [(b, a, value) for a, b, value in rows[: len(rows) - len(columns)]]
+    return to_rows(wide, [*rows, *mirrored], ["left", "right", "r"])
 
 
 def correlation_of(matrix: DataFrame, left: str, right: str) -> DataFrame:
@@ -363,7 +369,7 @@ def temporal_halves(
     """The same four figures for the first and second half of the time order."""
     needed = [contract.id, contract.target, contract.amount, international, activity]
     data = df.select(*needed, parsed_time(df, contract).alias(contract.time))
-    middle = order_statistics(data, contract.time, contract.id, [max(1, df.count() // 2)])[0]
+    middle = order_statistics(data, contract.time, contract.id, lambda rows: [max(1, rows // 2)])[0]
     first = at_or_before(data, contract.time, contract.id, middle)
     halves = data.withColumn("half", F.when(first, "first").otherwise("second"))
     facts = halves.groupBy("half").agg(

@@ -35,12 +35,14 @@ def temporal_split(
     task_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``split``; rows stay where they are, only the two cut keys are searched."""
-    train_end, validation_end = split_sizes(df.count(), train, validation)
-    if not 0 < train_end < validation_end:
-        raise ContractError("too few rows for a chronological split")
-    first, second = order_statistics(
-        df, contract.time, contract.id, [train_end, validation_end], task_rows=task_rows
-    )
+
+    def ends(rows: int) -> tuple[int, int]:
+        sizes = split_sizes(rows, train, validation)
+        if not 0 < sizes[0] < sizes[1]:
+            raise ContractError("too few rows for a chronological split")
+        return sizes
+
+    first, second = order_statistics(df, contract.time, contract.id, ends, task_rows=task_rows)
     return df.withColumn(
         "split",
         F.when(at_or_before(df, contract.time, contract.id, first), TRAIN)

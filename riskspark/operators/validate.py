@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError, is_floating, present
-from riskspark.functions import is_infinite, stripped, to_rows
+from riskspark.functions import is_infinite, stripped, texts_that_apply, to_rows
 from riskspark.operators.profile import duplicate_ids, parsed_time
 
 # Rule names in the order in which a failure is reported.
@@ -171,8 +171,7 @@ def with_violations(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> Dat
     """Trim the text features and add ``violations``, the codes of the broken rules."""
     clean = trimmed(require_features(df, "Request", contract), contract)
     rules = request_rules(clean, contract)
-    codes = F.array(*[F.when(failed, F.lit(code)) for code, failed in rules.items()])
-    return clean.withColumn("violations", F.array_compact(codes))
+    return clean.withColumn("violations", texts_that_apply(list(rules.items())))
 
 
 def split_valid(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from riskspark.sources.scratch import stored
 # The two look-back periods.
 ACTIVITY_HOURS = 24
 AVERAGE_DAYS = 30
-HOT_CUSTOMER_ROWS = 1_000_000
+HOT_CUSTOMER_ROWS = 20_000
 
 
 def velocity_features(
@@ -25,9 +25,10 @@ def velocity_features(
 ) -> DataFrame:
     """Add ``transactions_last_24h`` and ``avg_amount_last_30d``, the row itself included.
 
-    Customers with up to ``hot_rows`` rows use one window per customer. Beyond
-    that the window would put a customer's whole history into one task, so
-    their figures come from running totals that spread over the cluster.
+    Customers with up to ``hot_rows`` rows use one window per customer, whose
+    work grows with rows times rows per period. Beyond that, where it would also
+    put a long history into one task, the figures come from running totals that
+    spread over the cluster.
     """
     hot = (
         df.groupBy(customer)

@@ -764,7 +764,7 @@ oracle("investigation_stream", _flat, *INVESTIGATED, EVIDENCE, scored("checked")
 oracle(
     "score_stream",
     f"SELECT external_id, CASE WHEN violations = '' THEN round(probability, 8) END AS probability,"
-    f" CASE WHEN violations = '' THEN probability >= {FIXED_MODEL.threshold} END AS prediction, violations = '' AS accepted FROM scored",
+    f" CASE WHEN violations = '' THEN probability >= {FIXED_MODEL.threshold} END AS prediction, CASE WHEN violations = '' THEN 'completed' ELSE 'failed' END AS status FROM scored",
     *CHECKED,
     scored("checked"),
 )

@@ -835,26 +835,20 @@ def request_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def score_stream(spark, folder):
-    output, rejected, progress = (scratch_path(spark, n) for n in ("scored", "rejected", "progress"))
+    output, progress = (scratch_path(spark, n) for n in ("scored", "progress"))
     jobs.score_stream(
-        request_stream(spark, folder), jobs.linear_scorer(FIXED_MODEL), output, rejected, progress
+        request_stream(spark, folder), jobs.linear_scorer(FIXED_MODEL), output, progress
     ).awaitTermination()
-    done = spark.read.parquet(output).select("external_id", "probability", "prediction", F.lit(True).alias("accepted"))
-    refused = spark.read.parquet(rejected).select(
-        "external_id", F.lit(None).cast("double").alias("probability"),
-        F.lit(None).cast("boolean").alias("prediction"), F.lit(False).alias("accepted"),
-    )
-    return rounded(done.unionByName(refused))
+    return rounded(spark.read.parquet(output).select("external_id", "probability", "prediction", "status"))
 
 
 @query
 def investigation_stream(spark, folder):
-    done, failed, progress = (scratch_path(spark, n) for n in ("reports", "failed", "progress"))
+    output, progress = (scratch_path(spark, n) for n in ("reports", "progress"))
     jobs.investigate_stream(
-        request_stream(spark, folder), FIXED_MODEL, done, failed, progress
+        request_stream(spark, folder), FIXED_MODEL, output, progress
     ).awaitTermination()
-    rows = spark.read.parquet(done).unionByName(spark.read.parquet(failed), allowMissingColumns=True)
-    return rounded(flat_report(rows))
+    return rounded(flat_report(spark.read.parquet(output)))
 
 
 @query

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract
+from riskspark.functions import drift_level
 from riskspark.operators.explain import LinearModel, score_linear
-from riskspark.operators.investigate import investigate, split_reports
+from riskspark.operators.investigate import COMPLETED, FAILED, investigate
 from riskspark.operators.monitor import (
     NumericReference,
     data_quality,
@@ -23,8 +24,7 @@ from riskspark.operators.monitor import (
     psi,
     psi_bins,
 )
-from riskspark.operators.validate import split_valid
-from riskspark.functions import drift_level
+from riskspark.operators.validate import with_violations
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -33,51 +33,71 @@ def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWrit
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
+def score_valid(df: DataFrame, score: Scorer, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+    """Score every row that meets the request rules; ``status`` tells which.
+
+    A rejected row keeps its ``violations`` and gets no score. Both kinds come
+    from one pass over the rows.
+    """
+    checked = with_violations(df, contract)
+    scored = score(checked)
+    ok = F.size("violations") == 0
+    added = [c for c in scored.columns if c not in checked.columns]
+    return scored.withColumns({c: F.when(ok, F.col(c)) for c in added}).withColumn(
+        "status", F.when(ok, COMPLETED).otherwise(FAILED)
+    )
+
+
+def _per_batch(
+    rows: DataFrame, prepare: Scorer, output: str, checkpoint: str, interval: str | None
+) -> StreamingQuery:
+    """Write each prepared micro-batch once, split into folders by ``status``.
+
+    Every micro-batch overwrites its own ``batch=<n>`` folder, so a batch that
+    is replayed after a failure does not appear twice. Failed rows, the
+    quarantine, are the ``status=failed`` folders.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        prepare(batch).write.mode("overwrite").partitionBy("status").parquet(f"{output}/batch={number}")
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
+
+
 def score_stream(
     requests: DataFrame,
     score: Scorer,
     output: str,
-    quarantine: str,
     checkpoint: str,
     *,
     contract: Contract = DEFAULT_CONTRACT,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Validate and score each row; scored and rejected rows go to two tables.
-
-    Every micro-batch overwrites its own ``batch=<n>`` folder, so a batch that
-    is replayed after a failure does not appear twice.
-    """
-
-    def write(batch: DataFrame, number: int) -> None:
-        valid, rejected = split_valid(batch, contract)
-        score(valid).write.mode("overwrite").parquet(f"{output}/batch={number}")
-        rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
-
-    writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _triggered(writer, interval).start()
+    """Validate and score each row; rejected rows are kept apart, without a score."""
+    return _per_batch(
+        requests, lambda batch: score_valid(batch, score, contract), output, checkpoint, interval
+    )
 
 
 def investigate_stream(
     requests: DataFrame,
     model: LinearModel,
-    reports: str,
-    quarantine: str,
+    output: str,
     checkpoint: str,
     *,
     score: Scorer | None = None,
     contract: Contract = DEFAULT_CONTRACT,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Investigate each row; completed reports and failed rows go to two tables."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        completed, failed = split_reports(investigate(batch, model, score=score, contract=contract))
-        completed.write.mode("overwrite").parquet(f"{reports}/batch={number}")
-        failed.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
-
-    writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _triggered(writer, interval).start()
+    """Investigate each row; failed investigations are kept apart, without a decision."""
+    return _per_batch(
+        requests,
+        lambda batch: investigate(batch, model, score=score, contract=contract),
+        output,
+        checkpoint,
+        interval,
+    )
 
 
 def monitor_stream(
