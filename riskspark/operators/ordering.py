@@ -234,16 +234,19 @@ def quantiles(
     *,
     by: Sequence[str] = (),
     max_distinct: int = 200_000,
+    distinct_values: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows ``(by..., feature, quantiles)``.
 
     ``percentile`` keeps a count per distinct value in one buffer, so it is used
     only after a bounded-memory estimate shows that the distinct values fit.
     Beyond that, value counts are summed along their order over the cluster.
+    A caller that has the estimate already passes it as ``distinct_values``.
     """
     by, columns = list(by), list(columns)
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    if sum(sizes) <= max_distinct:
+    if distinct_values is None:
+        distinct_values = sum(df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first())
+    if distinct_values <= max_distinct:
         return _buffered_quantiles(df, columns, probabilities, by)
     return _distributed_quantiles(df, columns, probabilities, by)
 
@@ -294,7 +297,9 @@ def _distributed_quantiles(df, columns, probabilities, by):
     )
 
 
-def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
+def quantile_values(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], **options: int | None
+) -> dict[str, list[float]]:
     """The quantiles of each column as plain numbers (columns x probabilities of them)."""
-    rows = quantiles(df, columns, probabilities).collect()
+    rows = quantiles(df, columns, probabilities, **options).collect()
     return {row["feature"]: row["quantiles"] for row in rows}

@@ -566,32 +566,44 @@ def scored_fixed(spark, folder):
     )
 
 
-def _fitted_scores(spark, folder, name, **sizes):
-    parts = training.prepared_split(transactions(spark, folder))
-    models = training.fit_models(parts, [name], **sizes)
-    return training.score_models(parts, models)
+_splits: dict[tuple[str, str], DataFrame] = {}
+_fitted: dict[tuple[str, str, str], tuple[training.FittedModel, DataFrame]] = {}
+
+
+def fitted(spark, folder, name) -> tuple[training.FittedModel, DataFrame]:
+    """A registered model of a data folder and its scored rows, fitted once per application."""
+    place = (spark.conf.get("spark.app.id", "local"), folder)
+    if place not in _splits:
+        _splits[place] = training.prepared_split(transactions(spark, folder))
+    key = (*place, name)
+    if key not in _fitted:
+        (model,) = training.fit_models(_splits[place], [name])
+        _fitted[key] = (model, training.score_models(_splits[place], [model]))
+    return _fitted[key]
+
+
+def all_scores(spark, folder) -> DataFrame:
+    return reduce(DataFrame.unionByName, [fitted(spark, folder, n)[1] for n in training.MODEL_NAMES])
 
 
 @query
 def lr_scores(spark, folder):
-    return _fitted_scores(spark, folder, training.LOGISTIC)
+    return fitted(spark, folder, training.LOGISTIC)[1]
 
 
 @query
 def rf_scores(spark, folder):
-    return _fitted_scores(spark, folder, training.FOREST)
+    return fitted(spark, folder, training.FOREST)[1]
 
 
 @query
 def gbt_scores(spark, folder):
-    return _fitted_scores(spark, folder, training.BOOSTING)
+    return fitted(spark, folder, training.BOOSTING)[1]
 
 
 @query
 def feature_importances(spark, folder):
-    parts = training.prepared_split(transactions(spark, folder))
-    (model,) = training.fit_models(parts, [training.FOREST])
-    return training.feature_importances(spark, model.pipeline)
+    return training.feature_importances(spark, fitted(spark, folder, training.FOREST)[0].pipeline)
 
 
 @query
@@ -601,12 +613,17 @@ def baseline_run(spark, folder):
 
 @query
 def comparison_run(spark, folder):
-    return training.comparison_run(transactions(spark, folder))[0]
+    return training.compared_models(all_scores(spark, folder))[0]
+
+
+@query
+def comparison_deltas(spark, folder):
+    return training.compared_models(all_scores(spark, folder))[1]
 
 
 @query
 def threshold_run(spark, folder):
-    return training.threshold_run(transactions(spark, folder))
+    return training.evaluated_thresholds(all_scores(spark, folder))
 
 
 # -- explanation and investigation -----------------------------------------------
@@ -735,7 +752,8 @@ def psi_edges(spark, folder):
 def psi_bins(spark, folder):
     reference, current = reference_and_current(spark, folder)
     edges = monitor.numeric_reference(reference, DEFAULT_CONTRACT.numeric).edges
-    return monitor.psi_bins(reference, current, edges)
+    bins = monitor.psi_bins(reference, current, edges)
+    return bins.select("feature", "bin", "reference_count", "current_count")
 
 
 @query

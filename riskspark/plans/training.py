@@ -5,6 +5,7 @@ from __future__ import annotations
 import platform
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pyspark
 from pyspark.ml import Pipeline, PipelineModel
@@ -285,29 +286,21 @@ def score_models(
     split: DataFrame, models: Sequence[FittedModel], contract: Contract = DEFAULT_CONTRACT
 ) -> DataFrame:
     """All rows scored by all models: ``(model, split, id, y, p)``, written once."""
-    parts = []
-    for model in models:
-        scored = positive_probability(split, model.pipeline)
-        parts.append(
-            scored.select(
-                F.lit(model.name).alias("model"),
-                "split",
-                contract.id,
-                F.col(contract.target).cast("int").alias("y"),
-                F.col("probability").alias("p"),
-            )
+    parts = [
+        positive_probability(split, model.pipeline).select(
+            F.lit(model.name).alias("model"),
+            "split",
+            contract.id,
+            F.col(contract.target).cast("int").alias("y"),
+            F.col("probability").alias("p"),
         )
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return stored(union, "scores")
+        for model in models
+    ]
+    return stored(reduce(DataFrame.unionByName, parts), "scores")
 
 
-def baseline_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
-    """Logistic baseline: metrics per split, the always-negative baseline, sanity flags."""
-    split = prepared_split(df, contract)
-    (model,) = fit_models(split, [LOGISTIC], contract)
-    scored = score_models(split, [model], contract)
+def baseline_summary(scored: DataFrame, model: FittedModel) -> DataFrame:
+    """Metrics per split, the always-negative baseline and the sanity flags of one model."""
     metrics = model_metrics(scored, DEFAULT_THRESHOLD, by=["model", "split"])
     trivial = trivial_baseline(scored.filter(F.col("split") == TEST)).select("accuracy").scalar()
     sanity = score_sanity(scored).first()
@@ -322,26 +315,43 @@ def baseline_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFr
     )
 
 
-def comparison_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT, **sizes: int) -> tuple[DataFrame, DataFrame]:
-    """Metrics per model and split, and their differences to the logistic baseline."""
+def baseline_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+    """Split, fit the logistic baseline on train, evaluate all parts."""
     split = prepared_split(df, contract)
-    scored = score_models(split, fit_models(split, contract=contract, **sizes), contract)
+    (model,) = fit_models(split, [LOGISTIC], contract)
+    return baseline_summary(score_models(split, [model], contract), model)
+
+
+def compared_models(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Metrics per model and split, and their differences to the logistic baseline."""
     metrics = stored(model_metrics(scored, DEFAULT_THRESHOLD, by=["model", "split"]), "comparison")
     return metrics, metric_deltas(metrics, LOGISTIC)
 
 
+def comparison_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT, **sizes: int) -> tuple[DataFrame, DataFrame]:
+    """Fit all models once on the same training part and compare them."""
+    split = prepared_split(df, contract)
+    return compared_models(score_models(split, fit_models(split, contract=contract, **sizes), contract))
+
+
+def evaluated_thresholds(scored: DataFrame, *, target_recall: float = TARGET_RECALL) -> DataFrame:
+    """Per model: test metrics at the threshold chosen on validation and at the default one."""
+    parts = [
+        frozen_threshold(scored.filter(F.col("model") == name), target_recall=target_recall).withColumn(
+            "model", F.lit(name)
+        )
+        for name in MODEL_NAMES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def threshold_run(
     df: DataFrame, contract: Contract = DEFAULT_CONTRACT, *, target_recall: float = TARGET_RECALL, **sizes: int
 ) -> DataFrame:
-    """Per model: test metrics at the threshold chosen on validation and at the default one."""
+    """Fit all models on train, choose thresholds on validation, freeze them on test."""
     split = prepared_split(df, contract)
     scored = score_models(split, fit_models(split, contract=contract, **sizes), contract)
-    results = None
-    for name in MODEL_NAMES:
-        rows = frozen_threshold(scored.filter(F.col("model") == name), target_recall=target_recall)
-        rows = rows.withColumn("model", F.lit(name))
-        results = rows if results is None else results.unionByName(rows)
-    return results
+    return evaluated_thresholds(scored, target_recall=target_recall)
 
 
 def baseline_metadata(

@@ -119,27 +119,25 @@ def monitor_stream(
     fixed = fixed or numeric_reference(reference, columns)
     spark = reference.sparkSession
     empty = reference.limit(0)
-    counted = psi_bins(reference, empty, fixed.edges).select("feature", "bin", "reference_count").collect()
-    reference_bins = [tuple(row) for row in counted]
+    counted = psi_bins(reference, empty, fixed.edges)
+    shape = counted.schema
+    reference_bins = [tuple(row) for row in counted.collect()]
 
     def write(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        known = spark.createDataFrame(reference_bins, "feature string, bin int, reference_count long")
-        found = psi_bins(empty, batch, fixed.edges).select("feature", "bin", "current_count")
-        both = known.withColumn("current_count", F.lit(0).cast("long")).unionByName(
-            found.withColumn("reference_count", F.lit(0).cast("long"))
-        )
+        known = spark.createDataFrame(reference_bins, shape)
+        both = known.unionByName(psi_bins(empty, batch, fixed.edges))
         bins = both.groupBy("feature", "bin").agg(
-            F.sum("reference_count").alias("reference_count"), F.sum("current_count").alias("current_count")
+            *[F.sum(c).alias(c) for c in shape.fieldNames() if c not in ("feature", "bin")]
         )
         quality = data_quality(batch, contract)
-        rows = psi(bins).withColumns(
-            {
-                "level": drift_level(F.col("psi")),
-                "rows": quality.select("row_count").scalar(),
-                "quality_status": quality.select("status").scalar(),
-            }
+        rows = psi(bins).select(
+            "feature",
+            "psi",
+            drift_level(F.col("psi")).alias("level"),
+            quality.select("row_count").scalar().alias("rows"),
+            quality.select("status").scalar().alias("quality_status"),
         )
         rows.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
