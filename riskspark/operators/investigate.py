@@ -96,31 +96,41 @@ def trace(failed_step: Column) -> Column:
     return F.slice(steps, F.lit(1), last)
 
 
-def scores_agree(a: str, b: str) -> Column:
-    """Whether two scorings of a row agree: score, flag, threshold and version."""
-
-    def same(name: str) -> Column:
-        x, y = F.col(f"{a}.{name}"), F.col(f"{b}.{name}")
-        if name in ("probability", "threshold"):
-            return F.abs(x - y) <= F.lit(SCORE_RTOL) * F.greatest(F.abs(x), F.abs(y))
-        return x == y
-
-    agree = same("probability") & same("prediction") & same("threshold") & same("artifact_version")
-    return F.coalesce(agree, F.lit(False))
-
-
 def score_consistency(
     scores: DataFrame, explained: DataFrame, *, id: str = "external_id"
 ) -> DataFrame:
-    """Join two scorings on id and add ``consistent``; a row of only one side is not."""
-    joined = scores.alias("score").join(
-        explained.alias("explained"), F.col(f"score.{id}") == F.col(f"explained.{id}"), "full_outer"
+    """Whether two scorings agree per id: score, flag, threshold and version.
+
+    The two sides meet in one group-by, so an id with many copies is reduced
+    before the shuffle and never paired with itself. An id of one side only,
+    or with a different number of rows, is not consistent.
+    """
+    fields = ["probability", "prediction", "threshold", "artifact_version"]
+    both = scores.select(id, *fields, F.lit(False).alias("_again")).unionByName(
+        explained.select(id, *fields, F.lit(True).alias("_again"))
+    )
+    again = F.col("_again")
+    facts = both.groupBy(id).agg(
+        F.min(F.when(~again, F.col("probability"))).alias("probability"),
+        F.min(F.when(again, F.col("probability"))).alias("explained_probability"),
+        F.count_if(again).alias("_again_rows"),
+        F.count_if(~again).alias("_rows"),
+        *[F.min(c).alias(f"_low_{c}") for c in fields],
+        *[F.max(c).alias(f"_high_{c}") for c in fields],
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in fields],
     )
-    return joined.select(
-        F.coalesce(F.col(f"score.{id}"), F.col(f"explained.{id}")).alias(id),
-        F.col("score.probability").alias("probability"),
-        F.col("explained.probability").alias("explained_probability"),
-        scores_agree("score", "explained").alias("consistent"),
+
+    def same(name: str) -> Column:
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        if name in ("probability", "threshold"):
+            return high - low <= F.lit(SCORE_RTOL) * F.greatest(F.abs(low), F.abs(high))
+        return low == high
+
+    agree = F.col("_rows") == F.col("_again_rows")
+    for name in fields:
+        agree = agree & same(name) & (F.col(f"_null_{name}") == 0)
+    return facts.select(
+        id, "probability", "explained_probability", F.coalesce(agree, F.lit(False)).alias("consistent")
     )
 
 

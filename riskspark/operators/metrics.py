@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from riskspark.contract import ContractError
 from riskspark.functions import is_finite, ratio, tied_with_best
-from riskspark.operators.ordering import running_totals, same_keys
+from riskspark.operators.ordering import running_totals
 from riskspark.sources.scratch import stored
 
 # The default operating point and selection target.
@@ -158,10 +158,10 @@ def trivial_baseline(df: DataFrame, *, y: str = "y", by: Sequence[str] = ()) ->
 def score_counts(
     df: DataFrame, *, y: str = "y", p: str = "p", by: Sequence[str] = (), neighbours: bool = False
 ) -> DataFrame:
-    """Rows ``(by..., p, pos, neg, tp, fp)`` per distinct score.
+    """Rows ``(by..., p, pos, neg, tp, fp, positives, negatives)`` per distinct score.
 
-    ``tp`` and ``fp`` count the rows with a score at or above ``p``;
-    ``neighbours`` adds the counts of the next lower score as ``next_pos`` and
+    ``tp`` and ``fp`` count the rows with a score at or above ``p``, ``positives``
+    and ``negatives`` those of the group; ``neighbours`` adds the counts of the next lower score as ``next_pos`` and
     ``next_neg``. Rows are reduced to distinct scores before they are shuffled.
     """
     label = F.col(y).cast("int")
@@ -171,19 +171,29 @@ def score_counts(
     )
     following = ["pos", "neg"] if neighbours else []
     totals = running_totals(distinct, [F.col("p").desc()], ["pos", "neg"], by=by, following=following)
-    return totals.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
+    return totals.withColumnsRenamed(
+        {"cum_pos": "tp", "cum_neg": "fp", "total_pos": "positives", "total_neg": "negatives"}
+    )
 
 
-def with_class_totals(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``positives`` and ``negatives`` of the group to each score row."""
-    if not by:
-        totals = counts.agg(F.struct(F.max("tp").alias("tp"), F.max("fp").alias("fp"))).scalar()
-        return counts.withColumn("_totals", totals).withColumns(
-            {"positives": F.col("_totals.tp"), "negatives": F.col("_totals.fp")}
-        ).drop("_totals")
-    totals = counts.groupBy(*by).agg(F.max("tp").alias("positives"), F.max("fp").alias("negatives"))
-    joined = counts.alias("left").join(totals.alias("right"), same_keys(counts, totals, by))
-    return joined.select(*[F.col(f"left.{c}").alias(c) for c in counts.columns], "positives", "negatives")
+def _ranking_sums() -> list[Column]:
+    # Pairs won by the positives at this score: all negatives below it, half of those tied.
+    won = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
+    step = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
+    return [
+        F.max("positives").alias("_positives"),
+        F.max("negatives").alias("_negatives"),
+        F.sum(won).alias("_won"),
+        F.sum(step).alias("_step"),
+    ]
+
+
+def _ranking_columns() -> dict[str, Column]:
+    pairs = F.col("_positives").cast("double") * F.col("_negatives")
+    return {
+        "roc_auc": ratio(F.col("_won"), pairs),
+        "average_precision": F.when(F.col("_negatives") > 0, ratio(F.col("_step"), F.col("_positives"))),
+    }
 
 
 def ranking_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -191,21 +201,8 @@ def ranking_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Both are NULL when only one class is present.
     """
-    # Pairs won by the positives at this score: all negatives below it, half of those tied.
-    won = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
-    step = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
-    sums = counts.groupBy(*by).agg(
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
-        F.sum(won).alias("_won"),
-        F.sum(step).alias("_step"),
-    )
-    pairs = F.col("positives").cast("double") * F.col("negatives")
-    return sums.select(
-        *by,
-        ratio(F.col("_won"), pairs).alias("roc_auc"),
-        F.when(F.col("negatives") > 0, ratio(F.col("_step"), F.col("positives"))).alias("average_precision"),
-    )
+    sums = counts.groupBy(*by).agg(*_ranking_sums())
+    return sums.select(*by, *[column.alias(name) for name, column in _ranking_columns().items()])
 
 
 def model_metrics(
@@ -221,28 +218,20 @@ def model_metrics(
     The confusion counts are read off the distinct-score table as well.
     """
     cut = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    counts = score_counts(df, y=y, p=p, by=by)
     alert = F.col("p") >= cut
 
     def total(column: str, when: Column) -> Column:
         return F.coalesce(F.sum(F.when(when, F.col(column))), F.lit(0))
 
-    cells = counts.groupBy(*by).agg(
+    sums = score_counts(df, y=y, p=p, by=by).groupBy(*by).agg(
         total("neg", ~alert).alias("true_negative"),
         total("neg", alert).alias("false_positive"),
         total("pos", ~alert).alias("false_negative"),
         total("pos", alert).alias("true_positive"),
+        *_ranking_sums(),
     )
-    at_cut = rates(cells)
-    ranking = ranking_metrics(counts, by)
-    if not by:
-        return at_cut.withColumns(
-            {c: ranking.select(c).scalar() for c in ("roc_auc", "average_precision")}
-        )
-    joined = at_cut.alias("left").join(ranking.alias("right"), same_keys(at_cut, ranking, by))
-    return joined.select(
-        *[F.col(f"left.{c}").alias(c) for c in at_cut.columns], "roc_auc", "average_precision"
-    )
+    hidden = ["_positives", "_negatives", "_won", "_step"]
+    return rates(sums).withColumns(_ranking_columns()).drop(*hidden)
 
 
 def metrics_of(metrics: DataFrame, model: str) -> DataFrame:
@@ -268,7 +257,7 @@ def metric_deltas(
 
 def pr_curve(counts: DataFrame) -> DataFrame:
     """Precision and recall at every distinct score, and the closing point (1, 0)."""
-    points = with_class_totals(counts).select(
+    points = counts.select(
         F.col("p").alias("threshold"),
         ratio(F.col("tp"), F.col("tp") + F.col("fp"), 0.0).alias("precision"),
         # Without positives the recall is 1 by convention.
@@ -291,8 +280,7 @@ def roc_curve(counts: DataFrame) -> DataFrame:
     last = F.col("next_pos").isNull()
     bends = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
     points = (
-        with_class_totals(counts)
-        .filter(first | last | bends)
+        counts.filter(first | last | bends)
         .select(
             F.col("p").alias("threshold"),
             ratio(F.col("fp"), F.col("negatives")).alias("false_positive_rate"),
@@ -323,8 +311,7 @@ def threshold_sweep(
 ) -> DataFrame:
     """Threshold metrics for every distinct score, or for a list of candidates."""
     if candidates is None:
-        counts = with_class_totals(score_counts(df, y=y, p=p))
-        return _swept(counts.withColumnRenamed("p", "threshold"))
+        return _swept(score_counts(df, y=y, p=p).withColumnRenamed("p", "threshold"))
     require_unit_interval("Candidate thresholds", *candidates)
     grid = sorted({float(c) for c in candidates})
     label = F.col(y).cast("int")

@@ -38,7 +38,8 @@ def running_totals(
     by: Sequence[str] = (),
     following: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``cum_<value>``: the inclusive running sum along ``order`` within ``by``.
+    """Add ``cum_<value>``, the inclusive running sum along ``order`` within ``by``,
+    and ``total_<value>``, the sum of the whole group.
 
     ``following`` columns also get ``next_<column>``, their value in the next
     row of the order (NULL in the last). Ordering keys should be unique per
@@ -70,6 +71,7 @@ def running_totals(
     offsets = chunks.select(
         *keys,
         *[F.coalesce(F.sum(f"_total_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values],
+        *[F.sum(f"_total_{v}").over(Window.partitionBy(*by)).alias(f"total_{v}") for v in values],
         *[F.lead(f"_head_{c}").over(across).alias(f"_after_{c}") for c in following],
     )
     joined = local.alias("left").join(offsets.alias("right"), same_keys(local, offsets, keys))
@@ -79,7 +81,7 @@ def running_totals(
         F.when(F.col("_last"), F.col(f"_after_{c}")).otherwise(F.col(f"next_{c}")).alias(f"next_{c}")
         for c in following
     ]
-    return joined.select(*carried, *sums, *nexts)
+    return joined.select(*carried, *sums, *[f"total_{v}" for v in values], *nexts)
 
 
 def global_rank(df: DataFrame, order: Sequence[str], *, name: str = "rank") -> DataFrame:
@@ -271,19 +273,13 @@ def _distributed_quantiles(df, columns, probabilities, by):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ordered = running_totals(counts, [F.col("value")], ["n"], by=keys)
-    totals = ordered.groupBy(*keys).agg(F.max("cum_n").alias("total"))
-    joined = (
-        ordered.alias("left")
-        .join(totals.alias("right"), same_keys(ordered, totals, keys))
-        .select(*[F.col(f"left.{k}").alias(k) for k in keys], "value", "n", "cum_n", "total")
-    )
 
     def holds(place: Column) -> Column:
         return (F.col("cum_n") - F.col("n") <= place) & (place < F.col("cum_n"))
 
     picks, results = [], []
     for number, probability in enumerate(probabilities):
-        exact = F.lit(float(probability)) * (F.col("total") - 1)
+        exact = F.lit(float(probability)) * (F.col("total_n") - 1)
         picks += [
             F.max(F.when(holds(F.floor(exact)), F.col("value"))).alias(f"_low{number}"),
             F.max(F.when(holds(F.ceil(exact)), F.col("value"))).alias(f"_high{number}"),
@@ -291,8 +287,8 @@ def _distributed_quantiles(df, columns, probabilities, by):
         low, high = F.col(f"_low{number}"), F.col(f"_high{number}")
         results.append(low + (high - low) * (exact - F.floor(exact)))
     return (
-        joined.groupBy(*keys)
-        .agg(F.max("total").alias("total"), *picks)
+        ordered.groupBy(*keys)
+        .agg(F.max("total_n").alias("total_n"), *picks)
         .select(*keys, F.array(*results).alias("quantiles"))
     )
 

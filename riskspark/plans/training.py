@@ -48,6 +48,7 @@ MODEL_NAMES = (LOGISTIC, FOREST, BOOSTING)
 SEED = 42
 ARTIFACT_VERSION = "logistic-baseline-v1"
 SPLIT_STRATEGY = "chronological_70_15_15_by_occurred_at"
+ALLCLOSE_RELATIVE, ALLCLOSE_ABSOLUTE = 1e-5, 1e-8
 
 WEIGHT, FEATURES = "_weight", "_features"
 
@@ -435,17 +436,28 @@ def build_model(
 def compare_scorings(
     before: DataFrame, after: DataFrame, threshold: float, contract: Contract = DEFAULT_CONTRACT
 ) -> DataFrame:
-    """Largest difference, agreement within tolerance and flag changes over all rows."""
-    a, b = F.col("before.probability"), F.col("after.probability")
-    joined = before.alias("before").join(
-        after.alias("after"), F.col(f"before.{contract.id}") == F.col(f"after.{contract.id}")
+    """Largest difference, agreement within tolerance and flag changes over all rows.
+
+    Both sides meet in one group-by on the id; no row is paired with a copy.
+    """
+    both = before.select(contract.id, "probability", F.lit(False).alias("_again")).unionByName(
+        after.select(contract.id, "probability", F.lit(True).alias("_again"))
     )
-    return joined.agg(
-        F.count(F.lit(1)).alias("rows"),
-        # Relative 1e-5 and absolute 1e-8 tolerance.
-        F.bool_and(F.abs(a - b) <= 1e-8 + 1e-5 * F.abs(b)).alias("probability_allclose"),
+    again, p = F.col("_again"), F.col("probability")
+    per_id = both.groupBy(contract.id).agg(
+        F.count_if(~again).alias("rows"),
+        F.max(F.when(~again, p)).alias("a"),
+        F.max(F.when(again, p)).alias("b"),
+        F.count_if(~again & (p >= threshold)).alias("alerts"),
+        F.count_if(again & (p >= threshold)).alias("alerts_again"),
+    )
+    a, b = F.col("a"), F.col("b")
+    close = F.abs(a - b) <= ALLCLOSE_ABSOLUTE + ALLCLOSE_RELATIVE * F.abs(b)
+    return per_id.agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.coalesce(close, F.lit(False))).alias("probability_allclose"),
         F.max(F.abs(a - b)).alias("max_absolute_probability_difference"),
-        F.count_if((a >= threshold) != (b >= threshold)).alias("classification_disagreements"),
+        F.sum(F.abs(F.col("alerts") - F.col("alerts_again"))).alias("classification_disagreements"),
     )
 
 

@@ -87,7 +87,7 @@ def admit(batch: DataFrame, existing: DataFrame | None = None) -> tuple[DataFram
     )
     known = F.lit(None).cast("string")
     if existing is not None:
-        ids = existing.select(F.col("external_id"), F.lit("already_stored").alias("_known"))
+        ids = existing.select("external_id").distinct().withColumn("_known", F.lit("already_stored"))
         counted = counted.join(ids, "external_id", "left")
         known = F.col("_known")
     order = ("occurred_at", *[c for c in STORED_COLUMNS if c not in ("external_id", "occurred_at")])
