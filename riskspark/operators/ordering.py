@@ -221,12 +221,20 @@ def order_statistics(
 
 
 def at_or_before(df: DataFrame, time: str, id: str, key: tuple[str, object]) -> Column:
-    """Whether a row is not after ``key`` in the order (time, id); a plain projection."""
+    """Whether a row is not after ``key`` in the order (time, id); NULL without a time.
+
+    Plain comparisons with literals, so that a filter on it reaches the file scan.
+    """
     cut = F.lit(key[0]).cast(df.schema[time].dataType)
     last = F.lit(key[1]).cast(df.schema[id].dataType)
-    return F.coalesce(
-        (F.col(time) < cut) | ((F.col(time) == cut) & (F.col(id) <= last)), F.lit(False)
-    )
+    return (F.col(time) < cut) | ((F.col(time) == cut) & (F.col(id) <= last))
+
+
+def after(df: DataFrame, time: str, id: str, key: tuple[str, object]) -> Column:
+    """Whether a row is after ``key``; the counterpart of ``at_or_before``."""
+    cut = F.lit(key[0]).cast(df.schema[time].dataType)
+    last = F.lit(key[1]).cast(df.schema[id].dataType)
+    return (F.col(time) > cut) | ((F.col(time) == cut) & (F.col(id) > last))
 
 
 def quantiles(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
 from riskspark.functions import ratio, to_rows
-from riskspark.operators.ordering import at_or_before, global_rank, order_statistics
+from riskspark.operators.ordering import after, at_or_before, global_rank, order_statistics
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 # Share of rows in the first two parts.
@@ -26,15 +28,23 @@ def split_sizes(rows: int, train: float = TRAIN_SHARE, validation: float = VALID
     return train_end, train_end + int(rows * validation)
 
 
-def temporal_split(
+@dataclass(frozen=True)
+class TemporalCuts:
+    """The keys (time as text, id) of the last train and the last validation row."""
+
+    train_end: tuple[str, object]
+    validation_end: tuple[str, object]
+
+
+def temporal_cuts(
     df: DataFrame,
     contract: Contract = DEFAULT_CONTRACT,
     *,
     train: float = TRAIN_SHARE,
     validation: float = VALIDATION_SHARE,
     task_rows: int = 1_000_000,
-) -> DataFrame:
-    """Add ``split``; rows stay where they are, only the two cut keys are searched."""
+) -> TemporalCuts:
+    """Search the two cut keys; reads only the time and id columns."""
 
     def ends(rows: int) -> tuple[int, int]:
         sizes = split_sizes(rows, train, validation)
@@ -42,13 +52,35 @@ def temporal_split(
             raise ContractError("too few rows for a chronological split")
         return sizes
 
-    first, second = order_statistics(df, contract.time, contract.id, ends, task_rows=task_rows)
-    return df.withColumn(
-        "split",
-        F.when(at_or_before(df, contract.time, contract.id, first), TRAIN)
-        .when(at_or_before(df, contract.time, contract.id, second), VALIDATION)
-        .otherwise(TEST),
-    )
+    return TemporalCuts(*order_statistics(df, contract.time, contract.id, ends, task_rows=task_rows))
+
+
+def with_split(df: DataFrame, cuts: TemporalCuts, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+    """Add ``split``; rows stay where they are. A row without a time comes last, in the test part."""
+    early = at_or_before(df, contract.time, contract.id, cuts.train_end)
+    middle = at_or_before(df, contract.time, contract.id, cuts.validation_end)
+    return df.withColumn("split", F.when(early, TRAIN).when(middle, VALIDATION).otherwise(TEST))
+
+
+def split_part(
+    df: DataFrame, cuts: TemporalCuts, part: str, contract: Contract = DEFAULT_CONTRACT
+) -> DataFrame:
+    """The rows of one part, by a filter that prunes files and row groups by time."""
+    time, id = contract.time, contract.id
+    if part == TRAIN:
+        return df.filter(at_or_before(df, time, id, cuts.train_end))
+    if part == VALIDATION:
+        return df.filter(after(df, time, id, cuts.train_end)).filter(
+            at_or_before(df, time, id, cuts.validation_end)
+        )
+    if part == TEST:
+        return df.filter(F.col(time).isNull() | after(df, time, id, cuts.validation_end))
+    raise ContractError(f"unknown part: {part}")
+
+
+def temporal_split(df: DataFrame, contract: Contract = DEFAULT_CONTRACT, **options: float) -> DataFrame:
+    """The whole table with its part as ``split``."""
+    return with_split(df, temporal_cuts(df, contract, **options), contract)
 
 
 def split_summary(split: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:

@@ -376,7 +376,7 @@ _velocity = (
     "SELECT event_id AS external_id, CAST(count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS INTEGER) AS transactions_last_24h,"
     + " round(avg(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW), 8) + 0.0 AS avg_amount_last_30d FROM events"
 )
-oracle("velocity", _velocity)
+oracle("velocity_features", _velocity)
 oracle("velocity_hot_customers", _velocity)
 
 # -- metrics --------------------------------------------------------------------------
@@ -711,7 +711,7 @@ def reasons(top: int) -> str:
 oracle("top_reasons", reasons(5), TXN, terms_of("txn"), REASONS)
 oracle("top_reasons_limited", reasons(2), TXN, terms_of("txn"), REASONS)
 oracle(
-    "sigmoid_values",
+    "sigmoid",
     f"SELECT external_id, {r8(sigmoid('z'), 'probability')} FROM (SELECT external_id, (k - 50) * amount / 7 AS z FROM txn)",
     TXN,
 )
@@ -721,6 +721,16 @@ oracle(
     TXN,
 )
 
+# A sound explanation rebuilds every row, and a reloaded model scores every row alike.
+oracle("reconstruction_check", "SELECT count(*) AS rows, count(*) AS reconstructed FROM txn", TXN)
+oracle(
+    "artifact_check",
+    "SELECT count(*) AS rows, true AS probability_allclose, 0.0::DOUBLE AS max_absolute_probability_difference,"
+    " CAST(0 AS BIGINT) AS classification_disagreements FROM parted WHERE split = 'validation'",
+    TXN,
+    PARTED,
+)
+
 # -- investigation ------------------------------------------------------------------------
 
 VALID = "valid AS (SELECT * FROM checked WHERE violations = '')"

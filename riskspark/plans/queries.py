@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark import functions
 from riskspark.contract import DEFAULT_CONTRACT
-from riskspark.functions import sigmoid
-from riskspark.operators import encode, explain, investigate, metrics, monitor, profile, split, validate
+from riskspark.operators import encode, explain, investigate, metrics, monitor, profile, split, validate, velocity
 from riskspark.operators.ordering import quantiles
-from riskspark.operators.velocity import velocity_features
 from riskspark.plans import training
 from riskspark.sources import artifacts, tables, testdata
 from riskspark.sources.scratch import scratch_path, stored
@@ -75,8 +74,10 @@ def parted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reference_and_current(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    both = parted(spark, folder)
-    return tuple(both.filter(F.col("split") == part).drop("split") for part in ("train", "validation"))
+    """Train part and validation part, each read through its own time filter."""
+    data = transactions(spark, folder)
+    cuts = split.temporal_cuts(data)
+    return split.split_part(data, cuts, split.TRAIN), split.split_part(data, cuts, split.VALIDATION)
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -370,7 +371,7 @@ def split_summary(spark, folder):
 
 
 @query
-def velocity(spark, folder):
+def velocity_features(spark, folder):
     return rounded(_velocity(spark, folder))
 
 
@@ -387,7 +388,7 @@ def _velocity(spark, folder, **options):
         F.col("ts").alias("occurred_at"),
         F.col("value").alias("amount"),
     )
-    return velocity_features(events, **options).select(
+    return velocity.velocity_features(events, **options).select(
         "external_id", "transactions_last_24h", "avg_amount_last_30d"
     )
 
@@ -451,7 +452,8 @@ def threshold_sweep_grid(spark, folder):
 
 
 def _validation(spark, folder):
-    return scored_parts(spark, folder).filter(F.col("split") == "validation").select("y", "p")
+    _, validation = reference_and_current(spark, folder)
+    return validation.select(F.col("is_fraud").alias("y"), "p")
 
 
 @query
@@ -652,10 +654,10 @@ def top_reasons_limited(spark, folder):
 
 
 @query
-def sigmoid_values(spark, folder):
+def sigmoid(spark, folder):
     """Logits up to +-4000, where a plain exponential would overflow."""
     z = (F.col("k") - 50) * F.col("amount") / 7
-    return rounded(transactions(spark, folder).select("external_id", sigmoid(z).alias("probability")))
+    return rounded(transactions(spark, folder).select("external_id", functions.sigmoid(z).alias("probability")))
 
 
 @query
@@ -668,7 +670,6 @@ def reconstruction_check(spark, folder):
     return explained.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(explain.reconstruction_ok()).alias("reconstructed"),
-        F.max(F.abs(F.col("reconstructed_logit") - F.col("logit"))).alias("max_logit_difference"),
     )
 
 

@@ -96,6 +96,27 @@ def test_split_keeps_rows_and_order(spark):
         split.require_split(parts.withColumn("is_fraud", F.lit(0)), 99)
 
 
+def test_parts_are_pushed_to_the_scan_and_cover_all_rows(spark, tmp_path):
+    df = spark.range(99).select(
+        F.col("id").cast("string").alias("external_id"),
+        F.when(F.col("id") != 50, F.timestamp_seconds(F.col("id") * 17 % 99)).alias("occurred_at"),
+        (F.col("id") % 5 == 0).cast("int").alias("is_fraud"),
+    )
+    path = str(tmp_path / "t")
+    df.write.parquet(path)
+    df = spark.read.parquet(path)
+    cuts = split.temporal_cuts(df)
+    whole = split.with_split(df, cuts)
+    for part in ("train", "validation", "test"):
+        alone = split.split_part(df, cuts, part)
+        assert sorted(alone.collect()) == sorted(whole.filter(F.col("split") == part).drop("split").collect())
+        assert "LessThan(occurred_at" in str(alone._jdf.queryExecution()) or "GreaterThan(occurred_at" in str(
+            alone._jdf.queryExecution()
+        )
+    with pytest.raises(ContractError):
+        split.split_part(df, cuts, "other")
+
+
 def test_split_cuts_inside_one_instant(spark):
     df = spark.range(1000).select(
         F.format_string("id%05d", "id").alias("external_id"), F.timestamp_seconds(F.lit(0)).alias("occurred_at"),

@@ -20,6 +20,8 @@ def connection():
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - LONG_RUNS))
 def test_query(spark, connection, name):
     result = entry.queries()[name](spark, FOLDER)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "Join Inner\n" not in plan
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert result.count() > 0
