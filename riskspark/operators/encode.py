@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.contract import DEFAULT_CONTRACT, Contract
+from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
+
+# Most levels that a category may have before it is refused.
+MAX_LEVELS = 100_000
 
 
 def scaling_parameters(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -30,11 +33,21 @@ def standard_scaled(
     )
 
 
-def category_levels(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per categorical column, as seen in the training rows.
+def require_few_levels(train: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
+    """Raise when a column has too many distinct values to be a category.
 
-    The levels become model columns, so their number is bounded by the model.
+    Levels become model columns and come to the driver, so their number is
+    checked first, by an estimate that needs little memory.
     """
+    found = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    wide = [c for c in columns if found[c] > limit]
+    if wide:
+        raise ContractError(f"too many distinct values for a category: {', '.join(wide)}")
+
+
+def category_levels(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted levels per categorical column, as seen in the training rows."""
+    require_few_levels(train, columns)
     texts = train.select(*[F.col(c).cast("string").alias(c) for c in columns])
     rows = (
         texts.unpivot([], list(columns), "feature", "value")

@@ -34,13 +34,15 @@ def velocity_features(
         df.groupBy(customer)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .select(customer)
+        .select(F.col(customer).alias("_hot"))
     )
     if hot.isEmpty():
         return _by_window(df, customer, contract)
     hot = stored(hot, "hot-customers")
-    usual = _by_window(df.join(hot, customer, "left_anti"), customer, contract)
-    busy = _by_running_totals(df.join(hot, customer, "left_semi"), customer, contract)
+    # Null-safe, because rows without a customer may be many as well.
+    is_hot = F.col(customer).eqNullSafe(F.col("_hot"))
+    usual = _by_window(df.join(hot, is_hot, "left_anti"), customer, contract)
+    busy = _by_running_totals(df.join(hot, is_hot, "left_semi"), customer, contract)
     return usual.unionByName(busy)
 
 
@@ -100,11 +102,12 @@ def _by_running_totals(df: DataFrame, customer: str, contract: Contract) -> Data
     def at(kind: str, column: str) -> Column:
         return F.max(F.when(F.col("kind") == kind, F.col(column)))
 
-    figures = sums.groupBy(customer, "_at").agg(
+    figures = sums.groupBy(F.col(customer).alias("_customer"), F.col("_at").alias("_instant")).agg(
         (at("point", "cum_n") - at("day", "cum_n")).cast("int").alias("transactions_last_24h"),
         ratio(
             at("point", "cum_total") - at("month", "cum_total"),
             at("point", "cum_amounts") - at("month", "cum_amounts"),
         ).alias("avg_amount_last_30d"),
     )
-    return df.withColumn("_at", micros).join(figures, [customer, "_at"], "left").drop("_at")
+    same = F.col(customer).eqNullSafe(F.col("_customer")) & micros.eqNullSafe(F.col("_instant"))
+    return df.join(figures, same, "left").drop("_customer", "_instant")

@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
-from riskspark.functions import is_finite
-from riskspark.operators.encode import scaling_parameters, weight_column
+from riskspark.operators.encode import require_few_levels, scaling_parameters, weight_column
 from riskspark.operators.explain import LinearModel, with_prediction
 from riskspark.operators.metrics import (
     DEFAULT_THRESHOLD,
@@ -271,6 +270,7 @@ def fit_models(
 ) -> list[FittedModel]:
     """Fit the named models on the training part only."""
     train = training_rows(split, contract)
+    require_few_levels(train, contract.categorical)
     fitted = []
     for name, pipeline in model_pipelines(train, train.count(), contract, **sizes):
         if name not in names:

@@ -132,6 +132,13 @@ def test_class_weights_are_balanced(spark):
     assert weights == {0: pytest.approx(10 / 18), 1: 5.0}
 
 
+def test_too_many_levels_are_refused(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("c"), F.lit("x").alias("d"))
+    encode.require_few_levels(df, ["c", "d"])
+    with pytest.raises(ContractError, match="category: c"):
+        encode.require_few_levels(df, ["c", "d"], limit=20)
+
+
 def test_constant_feature_scales_to_zero(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
     scaled = encode.standard_scaled(df, encode.scaling_parameters(df, ["x"]))

@@ -131,7 +131,9 @@ def test_split_cuts_inside_one_instant(spark):
 def test_velocity_of_hot_customers_equals_the_window(spark, many_chunks):
     df = spark.range(3000).select(
         F.col("id").alias("external_id"),
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 50)).alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 2, F.concat(F.lit("c"), F.col("id") % 50))
+        .alias("customer_id"),
         F.timestamp_seconds((F.col("id") * 7919 % 4000) * 900).alias("occurred_at"),
         F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 97 / 4.0).alias("amount"),
     )
