@@ -3,8 +3,10 @@
 from riskspark.functions.scalars import (
     close_to,
     drift_level,
+    instant,
     is_finite,
     is_infinite,
+    micros_of,
     ratio,
     sigmoid,
     sql_literal,
@@ -18,8 +20,10 @@ from riskspark.functions.scalars import (
 __all__ = [
     "close_to",
     "drift_level",
+    "instant",
     "is_finite",
     "is_infinite",
+    "micros_of",
     "ratio",
     "sigmoid",
     "sql_literal",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 from math import isfinite
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,28 @@ def sql_literal(value: str | int | float | bool | None) -> str:
     return str(value)
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
+def micros_of(df: DataFrame, name: str) -> Column:
+    """Microseconds of a time column, the same in every session time zone."""
+    time = F.col(name)
+    if df.schema[name].dataType.simpleString() != "timestamp_ntz":
+        return F.unix_micros(time.cast("timestamp"))
+    days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(time)) * 60 + F.minute(time)
+    seconds = F.extract(F.lit("SECOND"), time).cast("decimal(18,6)")
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
+
+
+def instant(df: DataFrame, name: str, micros: int) -> Column:
+    """The literal of a time column's type that lies at these microseconds."""
+    if df.schema[name].dataType.simpleString() != "timestamp_ntz":
+        return F.timestamp_micros(F.lit(micros))
+    text = (EPOCH + timedelta(microseconds=micros)).isoformat(sep=" ", timespec="microseconds")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def sql_name(column: str) -> str:
     quoted = column.replace("`", "``")
     return f"`{quoted}`"

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.contract import ContractError
-from riskspark.functions import to_rows
+from riskspark.functions import instant, micros_of, to_rows
 from riskspark.sources.scratch import stored
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row below.
@@ -127,8 +127,8 @@ def order_statistics(
     *,
     task_rows: int = 1_000_000,
     fanout: int = 4096,
-) -> list[tuple[str, object]]:
-    """Keys ``(time as text, id)`` of the rows at 1-based positions of the order (time, id).
+) -> list[tuple[int, object]]:
+    """Keys ``(time in microseconds, id)`` of the rows at 1-based positions of the order (time, id).
 
     ``positions`` gives the wanted positions from the number of rows.
 
@@ -137,15 +137,10 @@ def order_statistics(
     enough to sort. A single instant with too many rows is ranked by id over
     the cluster. The driver only sees slice counts and the keys found.
     """
-    kind = df.schema[time].dataType.simpleString()
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    keys = df.select(F.col(time), F.col(id), micros.alias("_micros"))
-
-    def instant(value: int) -> Column:
-        return F.timestamp_micros(F.lit(value)).cast(kind)
+    keys = df.select(F.col(time), F.col(id), micros_of(df, time).alias("_micros"))
 
     def inside(search: _Search) -> Column:
-        return F.col(time).between(instant(search.low), instant(search.high))
+        return F.col(time).between(instant(df, time, search.low), instant(df, time, search.high))
 
     def any_of(searches: Sequence[_Search]) -> Column:
         return reduce(lambda a, b: a | b, [inside(s) for s in searches])
@@ -195,7 +190,7 @@ def order_statistics(
                 before += size
         searches = [narrowed.get(s, s) for s in searches]
 
-    found: dict[int, tuple[str, object]] = {}
+    found: dict[int, tuple[int, object]] = {}
     small = [s for s in searches if s.rows <= task_rows]
     if small:
         ranges = distinct_ranges(small)
@@ -207,32 +202,30 @@ def order_statistics(
             .withColumn("_tag", tagged(ranges))
             .withColumn("_place", F.concat_ws(":", "_tag", place))
             .filter(F.col("_place").isin(wanted))
-            .select("_place", F.col(time).cast("string"), F.col(id))
+            .select("_place", "_micros", F.col(id))
         )
         at = {row[0]: (row[1], row[2]) for row in picked.collect()}
         found |= {s.position: at[w] for s, w in zip(small, wanted, strict=True)}
     for search in (s for s in searches if s.rows > task_rows):
-        ranked = global_rank(keys.filter(F.col(time) == instant(search.low)).select(time, id), [id])
-        row = ranked.filter(F.col("rank") == search.position - search.before).select(
-            F.col(time).cast("string"), F.col(id)
-        )
-        found[search.position] = tuple(row.first())
+        ranked = global_rank(keys.filter(F.col(time) == instant(df, time, search.low)).select(id), [id])
+        row = ranked.filter(F.col("rank") == search.position - search.before).select(id).first()
+        found[search.position] = (search.low, row[0])
     return [found[p] for p in wanted_positions]
 
 
-def at_or_before(df: DataFrame, time: str, id: str, key: tuple[str, object]) -> Column:
+def at_or_before(df: DataFrame, time: str, id: str, key: tuple[int, object]) -> Column:
     """Whether a row is not after ``key`` in the order (time, id); NULL without a time.
 
     Plain comparisons with literals, so that a filter on it reaches the file scan.
     """
-    cut = F.lit(key[0]).cast(df.schema[time].dataType)
+    cut = instant(df, time, key[0])
     last = F.lit(key[1]).cast(df.schema[id].dataType)
     return (F.col(time) < cut) | ((F.col(time) == cut) & (F.col(id) <= last))
 
 
-def after(df: DataFrame, time: str, id: str, key: tuple[str, object]) -> Column:
+def after(df: DataFrame, time: str, id: str, key: tuple[int, object]) -> Column:
     """Whether a row is after ``key``; the counterpart of ``at_or_before``."""
-    cut = F.lit(key[0]).cast(df.schema[time].dataType)
+    cut = instant(df, time, key[0])
     last = F.lit(key[1]).cast(df.schema[id].dataType)
     return (F.col(time) > cut) | ((F.col(time) == cut) & (F.col(id) > last))
 

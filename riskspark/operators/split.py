@@ -30,10 +30,10 @@ def split_sizes(rows: int, train: float = TRAIN_SHARE, validation: float = VALID
 
 @dataclass(frozen=True)
 class TemporalCuts:
-    """The keys (time as text, id) of the last train and the last validation row."""
+    """The keys (time in microseconds, id) of the last train and the last validation row."""
 
-    train_end: tuple[str, object]
-    validation_end: tuple[str, object]
+    train_end: tuple[int, object]
+    validation_end: tuple[int, object]
 
 
 def temporal_cuts(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract
-from riskspark.functions import ratio
+from riskspark.functions import micros_of, ratio
 from riskspark.operators.ordering import running_totals
 from riskspark.sources.scratch import stored
 
@@ -47,7 +47,7 @@ def velocity_features(
 
 
 def _by_window(df: DataFrame, customer: str, contract: Contract) -> DataFrame:
-    history = Window.partitionBy(customer).orderBy(F.unix_micros(F.col(contract.time).cast("timestamp")))
+    history = Window.partitionBy(customer).orderBy(micros_of(df, contract.time))
     day = history.rangeBetween(-ACTIVITY_HOURS * 3_600_000_000, Window.currentRow)
     month = history.rangeBetween(-AVERAGE_DAYS * 86_400_000_000, Window.currentRow)
     return df.withColumns(
@@ -65,7 +65,7 @@ def _by_running_totals(df: DataFrame, customer: str, contract: Contract) -> Data
     its periods. A marker sorts before a point of the same instant, so the
     running total at a marker excludes the period.
     """
-    micros = F.unix_micros(F.col(contract.time).cast("timestamp"))
+    micros = micros_of(df, contract.time)
     instants = (
         df.groupBy(customer, micros.alias("_at"))
         .agg(

@@ -56,6 +56,25 @@ def test_order_statistics_narrow_to_the_exact_keys(spark, task_rows):
     assert [key[1] for key in found] == [ordered[p - 1][1] for p in positions]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_cuts_do_not_depend_on_the_time_zone(spark, kind):
+    """Rows around the hour that New York repeats in November."""
+    df = spark.range(400).select(
+        F.col("id").cast("string").alias("external_id"),
+        F.timestamp_seconds(F.lit(1_762_056_000) + F.col("id") * 61).cast(kind).alias("occurred_at"),
+        F.col("id").alias("n"),
+    )
+    rows = df.collect()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        local = spark.createDataFrame(rows, df.schema) if kind == "timestamp_ntz" else df
+        parts = split.temporal_split(local, task_rows=20).groupBy("split").agg(F.count("*"), F.min("n"), F.max("n"))
+        found = {r[0]: tuple(r[1:]) for r in parts.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == {"train": (280, 0, 279), "validation": (60, 280, 339), "test": (60, 340, 399)}
+
+
 def test_order_statistics_reject_positions_outside(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1), "a")], "t timestamp, id string")
     with pytest.raises(ContractError):
