@@ -7,18 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
-
-# Most levels that a category may have before it is refused.
-MAX_LEVELS = 100_000
+from riskspark.contract import DEFAULT_CONTRACT, Contract, nan_to_null
 
 
 def scaling_parameters(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column; a constant column scales by 1."""
-    row = train.agg(
+    """Mean and population deviation per column, missing values skipped; a constant column scales by 1."""
+    row = nan_to_null(train.select(*columns)).agg(
         *[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns]
     ).first()
-    return {c: (row[c]["mean"], row[c]["std"] or 1.0) for c in columns}
+    return {c: (0.0 if row[c]["mean"] is None else row[c]["mean"], row[c]["std"] or 1.0) for c in columns}
 
 
 def scaled(column: Column, mean: float, std: float) -> Column:
@@ -33,21 +30,12 @@ def standard_scaled(
     )
 
 
-def require_few_levels(train: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
-    """Raise when a column has too many distinct values to be a category.
+def category_levels(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted levels per categorical column, as seen in the training rows.
 
-    Levels become model columns and come to the driver, so their number is
-    checked first, by an estimate that needs little memory.
+    A level is an input of the model, whose coefficients are one vector; any
+    number that such a vector can hold is accepted.
     """
-    found = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if found[c] > limit]
-    if wide:
-        raise ContractError(f"too many distinct values for a category: {', '.join(wide)}")
-
-
-def category_levels(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per categorical column, as seen in the training rows."""
-    require_few_levels(train, columns)
     texts = train.select(*[F.col(c).cast("string").alias(c) for c in columns])
     rows = (
         texts.unpivot([], list(columns), "feature", "value")

@@ -6,6 +6,7 @@ a table is one projection: no UDF, no shuffle.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -83,8 +84,9 @@ def contribution_sql(model: LinearModel, feature: str) -> str:
     terms = model.categorical[feature]
     if not terms:
         return "0.0D"
-    cases = " ".join(f"WHEN {sql_literal(x)} THEN {sql_literal(float(c))}" for x, c in terms.items())
-    return f"CASE cast({name} as string) {cases} ELSE 0.0D END"
+    # One constant map, read once: the plan does not grow with the number of levels.
+    levels = sql_literal(json.dumps({str(x): float(c) for x, c in terms.items()}))
+    return f"coalesce(try_element_at(from_json({levels}, 'map<string,double>'), cast({name} as string)), 0.0D)"
 
 
 def feature_contribution(model: LinearModel, feature: str) -> Column:
@@ -231,12 +233,10 @@ def reconstruction_ok() -> Column:
 
 def top_reasons(explained: DataFrame, *, id: str = "external_id") -> DataFrame:
     """The reason arrays as rows ``(id, direction, rank, code, ...)``."""
-    sides = [
-        explained.select(F.col(id), F.posexplode_outer(f"{name}_reasons").alias("_place", "_reason"))
-        for name in ("increasing", "decreasing")
-    ]
-    # The outer form keeps the optimizer from repeating the arrays in a filter.
-    rows = sides[0].unionByName(sides[1]).filter(F.col("_reason").isNotNull())
-    return rows.select(
-        id, (F.col("_place") + 1).alias("rank"), *[F.col(f"_reason.{f}").alias(f) for f in REASON_FIELDS]
-    )
+    # Both arrays in one pass; the outer form keeps the optimizer from repeating them in a filter.
+    first = F.size("increasing_reasons")
+    rows = explained.select(
+        F.col(id), first.alias("_first"), F.posexplode_outer(F.concat("increasing_reasons", "decreasing_reasons")).alias("_place", "_reason")
+    ).filter(F.col("_reason").isNotNull())
+    rank = F.when(F.col("_place") < F.col("_first"), F.col("_place") + 1).otherwise(F.col("_place") - F.col("_first") + 1)
+    return rows.select(id, rank.alias("rank"), *[F.col(f"_reason.{f}").alias(f) for f in REASON_FIELDS])

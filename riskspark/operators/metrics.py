@@ -9,6 +9,7 @@ counts of positives and negatives at or above it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from math import isfinite
 
@@ -178,8 +179,9 @@ def score_counts(
 
 def _ranking_sums() -> list[Column]:
     # Pairs won by the positives at this score: all negatives below it, half of those tied.
-    won = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
-    step = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
+    won = F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2)
+    # Shares first: a product of two counts would not fit a long.
+    step = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
     return [
         F.max("positives").alias("_positives"),
         F.max("negatives").alias("_negatives"),
@@ -255,21 +257,22 @@ def metric_deltas(
     )
 
 
-def pr_curve(counts: DataFrame) -> DataFrame:
+def pr_curve(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Precision and recall at every distinct score, and the closing point (1, 0)."""
     points = counts.select(
+        *by,
         F.col("p").alias("threshold"),
         ratio(F.col("tp"), F.col("tp") + F.col("fp"), 0.0).alias("precision"),
         # Without positives the recall is 1 by convention.
         ratio(F.col("tp"), F.col("positives"), 1.0).alias("recall"),
     )
-    closing = counts.agg(F.lit(None).cast("double").alias("threshold")).select(
-        "threshold", F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    closing = counts.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold")).select(
+        *by, "threshold", F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
     return points.unionByName(closing)
 
 
-def roc_curve(counts: DataFrame) -> DataFrame:
+def roc_curve(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rates at every score that bends the curve.
 
     Starts at (0, 0) with an infinite threshold. Inner points on a straight
@@ -282,12 +285,14 @@ def roc_curve(counts: DataFrame) -> DataFrame:
     points = (
         counts.filter(first | last | bends)
         .select(
+            *by,
             F.col("p").alias("threshold"),
             ratio(F.col("fp"), F.col("negatives")).alias("false_positive_rate"),
             ratio(F.col("tp"), F.col("positives")).alias("true_positive_rate"),
         )
     )
-    start = counts.agg(F.lit(float("inf")).alias("threshold")).select(
+    start = counts.groupBy(*by).agg(F.lit(float("inf")).alias("threshold")).select(
+        *by,
         "threshold",
         F.lit(0.0).alias("false_positive_rate"),
         F.lit(0.0).alias("true_positive_rate"),
@@ -295,8 +300,9 @@ def roc_curve(counts: DataFrame) -> DataFrame:
     return points.unionByName(start)
 
 
-def _swept(cells: DataFrame) -> DataFrame:
+def _swept(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     counts = cells.select(
+        *by,
         "threshold",
         (F.col("negatives") - F.col("fp")).alias("true_negative"),
         F.col("fp").alias("false_positive"),
@@ -336,8 +342,6 @@ def threshold_sweep(
 
 def _count_reached(value: Column, grid: Sequence[float]) -> Column:
     """How many of the ascending grid values are at or below ``value``."""
-    if len(grid) <= 64:
-        return reduce(lambda a, b: a + b, [(value >= g).cast("int") for g in grid])
     return F.size(F.filter(F.lit(list(grid)), lambda g: g <= value))
 
 
@@ -388,6 +392,89 @@ def choose_threshold(sweep: DataFrame, target_recall: float = TARGET_RECALL) ->
     )
 
 
+def choose_thresholds(sweep: DataFrame, target_recall: float, by: str) -> DataFrame:
+    """The selection policy of ``choose_threshold`` for every group of a written sweep."""
+    eligible = F.col("recall") >= F.lit(float(target_recall))
+    most = sweep.groupBy(by).agg(
+        F.max(F.when(eligible, F.col("precision"))).alias("_precision"), F.max("recall").alias("_recall")
+    )
+    satisfied = F.col("_precision").isNotNull()
+    first = F.when(satisfied, F.col("precision")).otherwise(F.col("recall"))
+    second = F.when(satisfied, F.col("recall")).otherwise(F.col("precision"))
+    pool = sweep.join(most, by).filter(~satisfied | eligible)
+    pool = pool.filter(tied_with_best(first, F.coalesce("_precision", "_recall"))).withColumn("_second", second)
+    pool = pool.join(pool.groupBy(by).agg(F.max("_second").alias("_best")), by)
+    pool = pool.filter(tied_with_best(F.col("_second"), F.col("_best"))).withColumn("constraint_satisfied", satisfied)
+    columns = [*[c for c in sweep.columns if c != by], "constraint_satisfied"]
+    chosen = pool.groupBy(by).agg(F.max_by(F.struct(*columns), "threshold").alias("best")).select(by, "best.*")
+    return chosen.withColumns(
+        {"target_recall": F.lit(float(target_recall)), "selection_policy": F.lit(SELECTION_POLICY)}
+    )
+
+
+@dataclass(frozen=True)
+class ThresholdEvaluation:
+    """Tables of an evaluation, one row or curve per group, all from one table of distinct scores.
+
+    ``metrics`` has the threshold figures and costs per (group, split, rule),
+    ``ranking`` both ranking metrics per (group, split), ``selection`` the chosen
+    threshold with its validation figures; the curves are those of validation.
+    """
+
+    metrics: DataFrame
+    ranking: DataFrame
+    selection: DataFrame
+    pr_curves: DataFrame
+    roc_curves: DataFrame
+
+
+# Relative costs of a false positive and a false negative.
+COST_SCENARIOS = {"cost_1_10": (1, 10), "cost_1_25": (1, 25), "cost_1_50": (1, 50)}
+
+
+def evaluate_thresholds(
+    scored: DataFrame,
+    *,
+    by: str = "model",
+    y: str = "y",
+    p: str = "p",
+    target_recall: float = TARGET_RECALL,
+    costs: Mapping[str, tuple[int, int]] = COST_SCENARIOS,
+) -> ThresholdEvaluation:
+    """Choose a threshold per group on validation and freeze it on test.
+
+    The choice reads validation rows only. Both parts are then measured at the
+    chosen threshold and at the default one.
+    """
+    require_unit_interval("Target recall", target_recall)
+    parts = scored.filter(F.col("split").isin("validation", "test"))
+    keys = [by, "split"]
+    counts = stored(score_counts(parts, y=y, p=p, by=keys, neighbours=True), "score-counts")
+    validation = counts.filter(F.col("split") == "validation")
+    sweep = stored(_swept(validation.withColumnRenamed("p", "threshold"), [by]), "sweep")
+    selection = stored(choose_thresholds(sweep, target_recall, by), "selection")
+    rules = selection.select(by, "threshold", F.lit("selected").alias("rule")).unionByName(
+        selection.select(by, F.lit(DEFAULT_THRESHOLD).alias("threshold"), F.lit("default").alias("rule"))
+    )
+    alert = F.col("p") >= F.col("threshold")
+    cells = {
+        "true_negative": ("neg", ~alert),
+        "false_positive": ("neg", alert),
+        "false_negative": ("pos", ~alert),
+        "true_positive": ("pos", alert),
+    }
+    measured = counts.join(rules, by).groupBy(*keys, "rule", "threshold").agg(
+        *[F.coalesce(F.sum(F.when(at, F.col(c))), F.lit(0)).alias(name) for name, (c, at) in cells.items()]
+    )
+    return ThresholdEvaluation(
+        relative_cost(alert_volume(rates(measured)), costs),
+        ranking_metrics(counts, keys),
+        selection,
+        pr_curve(validation, [by]),
+        roc_curve(validation, [by]),
+    )
+
+
 def frozen_threshold(
     scored: DataFrame,
     *,

@@ -231,40 +231,14 @@ def after(df: DataFrame, time: str, id: str, key: tuple[int, object]) -> Column:
 
 
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    *,
-    by: Sequence[str] = (),
-    max_distinct: int = 200_000,
-    distinct_values: int | None = None,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *, by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows ``(by..., feature, quantiles)``.
 
-    ``percentile`` keeps a count per distinct value in one buffer, so it is used
-    only after a bounded-memory estimate shows that the distinct values fit.
-    Beyond that, value counts are summed along their order over the cluster.
-    A caller that has the estimate already passes it as ``distinct_values``.
+    Rows are reduced to counts per distinct value, which are summed along their
+    order over the cluster; the result does not depend on the number of rows.
     """
     by, columns = list(by), list(columns)
-    if distinct_values is None:
-        distinct_values = sum(df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first())
-    if distinct_values <= max_distinct:
-        return _buffered_quantiles(df, columns, probabilities, by)
-    return _distributed_quantiles(df, columns, probabilities, by)
-
-
-def _buffered_quantiles(df, columns, probabilities, by):
-    wanted = [float(p) for p in probabilities]
-    wide = df.groupBy(*by).agg(
-        *[F.percentile(F.col(c).cast("double"), wanted).alias(f"q_{c}") for c in columns]
-    )
-    return to_rows(
-        wide, [(F.lit(c), F.col(f"q_{c}")) for c in columns], ["feature", "quantiles"], keep=by
-    )
-
-
-def _distributed_quantiles(df, columns, probabilities, by):
     keys = [*by, "feature"]
     counts = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -295,8 +269,8 @@ def _distributed_quantiles(df, columns, probabilities, by):
 
 
 def quantile_values(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], **options: int | None
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     """The quantiles of each column as plain numbers (columns x probabilities of them)."""
-    rows = quantiles(df, columns, probabilities, **options).collect()
+    rows = quantiles(df, columns, probabilities).collect()
     return {row["feature"]: row["quantiles"] for row in rows}

@@ -214,22 +214,12 @@ def correlations(
     data = clean.select(*[F.col(c).cast("double").alias(c) for c in columns])
 
     pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    # Rows multiply by the pairs only up to the partial aggregate of the same task.
-    r = (
-        data.select(F.inline(entries))
-        .filter(both)
-        .groupBy("pair")
-        .agg(ratio(F.covar_pop("x", "y"), spread).alias("r"))
-    )
-    wide = r.agg(*[F.max(F.when(F.col("pair") == i, F.col("r"))).alias(f"_r{i}") for i in range(len(pairs))])
+
+    def coefficient(a: str, b: str) -> Column:
+        x, y = (F.when(F.col(other).isNotNull(), F.col(own)) for own, other in ((a, b), (b, a)))
+        return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = data.agg(*[coefficient(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [(F.lit(a), F.lit(b), F.col(f"_r{i}")) for i, (a, b) in enumerate(pairs)]
     mirrored = [(b, a, value) for a, b, value in rows[: len(rows) - len(columns)]]
     return to_rows(wide, [*rows, *mirrored], ["left", "right", "r"])
@@ -368,7 +358,7 @@ def temporal_halves(
 ) -> DataFrame:
     """The same four figures for the first and second half of the time order."""
     needed = [contract.id, contract.target, contract.amount, international, activity]
-    data = df.select(*needed, parsed_time(df, contract).alias(contract.time))
+    data = nan_to_null(df.select(*needed, parsed_time(df, contract).alias(contract.time)))
     middle = order_statistics(data, contract.time, contract.id, lambda rows: [max(1, rows // 2)])[0]
     first = at_or_before(data, contract.time, contract.id, middle)
     halves = data.withColumn("half", F.when(first, "first").otherwise("second"))

@@ -1,4 +1,11 @@
-"""Recent-behaviour columns per customer: activity in 24 hours, average in 30 days."""
+"""Recent-behaviour columns per customer: activity in 24 hours, average in 30 days.
+
+A look-back period is made of whole hours between two cut hours. Whole hours
+are summed once per customer and hour; only the rows of the two cut hours are
+summed one by one. So no task holds a customer's whole history, work grows with
+the rows, and nothing is ever subtracted: each figure is a sum of exactly the
+amounts of its period.
+"""
 
 from __future__ import annotations
 
@@ -6,108 +13,96 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract
-from riskspark.functions import micros_of, ratio
-from riskspark.operators.ordering import running_totals
+from riskspark.functions import micros_of
 from riskspark.sources.scratch import stored
 
 # The two look-back periods.
 ACTIVITY_HOURS = 24
 AVERAGE_DAYS = 30
-HOT_CUSTOMER_ROWS = 20_000
+_HOUR = 3_600_000_000
+# Per instant: rows, amounts, sum of the finite ones, and the others by kind.
+_SUMS = ("n", "amounts", "total", "nans", "highs", "lows")
 
 
 def velocity_features(
-    df: DataFrame,
-    *,
-    customer: str = "customer_id",
-    contract: Contract = DEFAULT_CONTRACT,
-    hot_rows: int = HOT_CUSTOMER_ROWS,
+    df: DataFrame, *, customer: str = "customer_id", contract: Contract = DEFAULT_CONTRACT
 ) -> DataFrame:
     """Add ``transactions_last_24h`` and ``avg_amount_last_30d``, the row itself included.
 
-    Customers with up to ``hot_rows`` rows use one window per customer, whose
-    work grows with rows times rows per period. Beyond that, where it would also
-    put a long history into one task, the figures come from running totals that
-    spread over the cluster.
-    """
-    hot = (
-        df.groupBy(customer)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(F.col(customer).alias("_hot"))
-    )
-    if hot.isEmpty():
-        return _by_window(df, customer, contract)
-    hot = stored(hot, "hot-customers")
-    # Null-safe, because rows without a customer may be many as well.
-    is_hot = F.col(customer).eqNullSafe(F.col("_hot"))
-    usual = _by_window(df.join(hot, is_hot, "left_anti"), customer, contract)
-    busy = _by_running_totals(df.join(hot, is_hot, "left_semi"), customer, contract)
-    return usual.unionByName(busy)
-
-
-def _by_window(df: DataFrame, customer: str, contract: Contract) -> DataFrame:
-    history = Window.partitionBy(customer).orderBy(micros_of(df, contract.time))
-    day = history.rangeBetween(-ACTIVITY_HOURS * 3_600_000_000, Window.currentRow)
-    month = history.rangeBetween(-AVERAGE_DAYS * 86_400_000_000, Window.currentRow)
-    return df.withColumns(
-        {
-            "transactions_last_24h": F.count(F.lit(1)).over(day).cast("int"),
-            "avg_amount_last_30d": F.avg(contract.amount).over(month),
-        }
-    )
-
-
-def _by_running_totals(df: DataFrame, customer: str, contract: Contract) -> DataFrame:
-    """Totals up to a row minus totals before the start of its look-back period.
-
-    Each (customer, instant) becomes a point and two markers at the starts of
-    its periods. A marker sorts before a point of the same instant, so the
-    running total at a marker excludes the period.
+    Rows without a customer are one customer. A NULL amount is not averaged; a
+    NaN or infinite one affects the rows whose period holds it.
     """
     micros = micros_of(df, contract.time)
-    instants = (
-        df.groupBy(customer, micros.alias("_at"))
-        .agg(
+    amount = F.col(contract.amount).cast("double")
+    finite = ~F.isnan(amount) & (F.abs(amount) < float("inf"))
+    instants = stored(
+        df.groupBy(F.col(customer).alias("_customer"), micros.alias("_at")).agg(
             F.count(F.lit(1)).alias("n"),
-            F.count(contract.amount).alias("amounts"),
-            F.coalesce(F.sum(contract.amount), F.lit(0.0)).alias("total"),
-        )
+            F.count(amount).alias("amounts"),
+            F.coalesce(F.sum(F.when(finite, amount)), F.lit(0.0)).alias("total"),
+            F.count_if(F.isnan(amount)).alias("nans"),
+            F.count_if(amount == float("inf")).alias("highs"),
+            F.count_if(amount == float("-inf")).alias("lows"),
+        ),
+        "instants",
+    )
+    day = _look_back(instants, ACTIVITY_HOURS)
+    month = _look_back(instants, AVERAGE_DAYS * 24)
+    figures = (
+        day.select("_customer", "_at", F.col("n").cast("int").alias("transactions_last_24h"), F.lit(None).cast("double").alias("_average"))
+        .unionByName(month.select("_customer", "_at", F.lit(None).cast("int").alias("transactions_last_24h"), _average().alias("_average")))
+        .groupBy("_customer", "_at")
+        .agg(F.max("transactions_last_24h").alias("transactions_last_24h"), F.max("_average").alias("avg_amount_last_30d"))
+    )
+    same = F.col(customer).eqNullSafe(F.col("_customer")) & micros.eqNullSafe(F.col("_at"))
+    return df.join(figures, same, "left").drop("_customer", "_at")
+
+
+def _average() -> Column:
+    undefined = (F.col("nans") > 0) | ((F.col("highs") > 0) & (F.col("lows") > 0))
+    return (
+        F.when(F.col("amounts") == 0, F.lit(None).cast("double"))
+        .when(undefined, float("nan"))
+        .when(F.col("highs") > 0, float("inf"))
+        .when(F.col("lows") > 0, float("-inf"))
+        .otherwise(F.col("total") / F.col("amounts"))
     )
 
-    def mark(kind: str, back: int, weight: int) -> Column:
-        return F.struct(
-            (F.col("_at") - F.lit(back)).alias("at"),
-            F.lit(weight).alias("is_point"),
-            F.lit(kind).alias("kind"),
-            (F.col("n") * weight).alias("n"),
-            (F.col("amounts") * weight).alias("amounts"),
-            (F.col("total") * weight).alias("total"),
-        )
 
-    marks = instants.select(
-        customer,
+def _look_back(instants: DataFrame, hours: int) -> DataFrame:
+    """Per customer and instant, the sums over the ``hours`` that end with it, both ends included."""
+    by_hour = ["_customer", "_hour"]
+    hour = F.expr(f"(_at - pmod(_at, {_HOUR}L)) div {_HOUR}L")
+    points = instants.withColumn("_hour", hour)
+    # A marker stands where a period begins, in the hour that is cut there.
+    begins = points.select(
+        "_customer",
+        (F.col("_hour") - hours).alias("_hour"),
+        (F.col("_at") - hours * _HOUR).alias("_place"),
         "_at",
-        F.inline(
-            F.array(
-                mark("day", ACTIVITY_HOURS * 3_600_000_000, 0),
-                mark("month", AVERAGE_DAYS * 86_400_000_000, 0),
-                mark("point", 0, 1),
-            )
-        ),
+        F.lit(True).alias("_begin"),
+        *[F.lit(0).cast(points.schema[c].dataType).alias(c) for c in _SUMS],
     )
-    order = [F.col("at"), F.col("is_point"), F.col("kind")]
-    sums = running_totals(marks, order, ["n", "amounts", "total"], by=[customer])
-
-    def at(kind: str, column: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, F.col(column)))
-
-    figures = sums.groupBy(F.col(customer).alias("_customer"), F.col("_at").alias("_instant")).agg(
-        (at("point", "cum_n") - at("day", "cum_n")).cast("int").alias("transactions_last_24h"),
-        ratio(
-            at("point", "cum_total") - at("month", "cum_total"),
-            at("point", "cum_amounts") - at("month", "cum_amounts"),
-        ).alias("avg_amount_last_30d"),
+    marks = points.select(*by_hour, F.col("_at").alias("_place"), "_at", F.lit(False).alias("_begin"), *_SUMS).unionByName(begins)
+    inside = Window.partitionBy(*by_hour)
+    upto = inside.orderBy("_place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    since = inside.orderBy(F.col("_place").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = marks.select(
+        "_customer",
+        "_at",
+        F.when(F.col("_begin"), F.lit(None)).otherwise(F.col("_hour")).alias("_hour"),
+        *[F.when(F.col("_begin"), F.sum(c).over(since)).otherwise(F.sum(c).over(upto)).alias(c) for c in _SUMS],
+    )
+    # Whole hours between the two: at most ``hours`` - 1 rows for each hour that has any.
+    whole = points.groupBy(*by_hour).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    between = Window.partitionBy("_customer").orderBy("_hour").rangeBetween(-(hours - 1), -1)
+    whole = whole.select(*by_hour, *[F.sum(c).over(between).alias(f"_whole_{c}") for c in _SUMS])
+    # The marker and the point of an instant meet; the hours between join the point's hour.
+    ends = cut.groupBy("_customer", "_at").agg(F.max("_hour").alias("_hour"), *[F.sum(c).alias(c) for c in _SUMS])
+    same = F.col("ends._customer").eqNullSafe(F.col("whole._customer")) & F.col("ends._hour").eqNullSafe(F.col("whole._hour"))
+    joined = ends.alias("ends").join(whole.alias("whole"), same, "left")
+    return joined.select(
+        "ends._customer",
+        "ends._at",
+        *[(F.coalesce(f"whole._whole_{c}", F.lit(0)) + F.col(f"ends.{c}")).alias(c) for c in _SUMS],
     )
-    same = F.col(customer).eqNullSafe(F.col("_customer")) & micros.eqNullSafe(F.col("_instant"))
-    return df.join(figures, same, "left").drop("_customer", "_instant")

@@ -7,13 +7,43 @@ transaction table), ``parted`` (with the split) and so on.
 from __future__ import annotations
 
 from riskspark.contract import CATEGORICAL_FEATURES, DEFAULT_CONTRACT, NUMERIC_FEATURES
-from riskspark.operators.explain import REASON_CODES
-from riskspark.operators.investigate import DESCRIPTIONS, STEPS
-from riskspark.operators.monitor import RULE_WEIGHTS
 from riskspark.plans.queries import FIXED_MODEL, LOW_CORRELATION
 
 ORACLES: dict[str, str] = {}
 
+# Reason codes, their texts and the steps of a trace, written out apart from the library's own.
+REASON_CODES = {
+    "amount": "AMOUNT_SIGNAL",
+    "account_age_days": "ACCOUNT_AGE_SIGNAL",
+    "transactions_last_24h": "RECENT_ACTIVITY_SIGNAL",
+    "avg_amount_last_30d": "CUSTOMER_AVERAGE_AMOUNT_SIGNAL",
+    "device_age_days": "DEVICE_AGE_SIGNAL",
+    "distance_from_home_km": "DISTANCE_FROM_HOME_SIGNAL",
+    "hour": "HOUR_SIGNAL",
+    "currency": "CURRENCY_SIGNAL",
+    "merchant_category": "MERCHANT_CATEGORY_SIGNAL",
+    "country": "COUNTRY_SIGNAL",
+    "transaction_type": "TRANSACTION_TYPE_SIGNAL",
+    "channel": "CHANNEL_SIGNAL",
+    "is_international": "INTERNATIONAL_SIGNAL",
+}
+DESCRIPTIONS = {
+    "AMOUNT_SIGNAL": "Transaction amount contributed to the model risk score.",
+    "ACCOUNT_AGE_SIGNAL": "Account age contributed to the model risk score.",
+    "RECENT_ACTIVITY_SIGNAL": "Recent activity contributed to the model risk score.",
+    "CUSTOMER_AVERAGE_AMOUNT_SIGNAL": "Customer average amount contributed to the model risk score.",
+    "DEVICE_AGE_SIGNAL": "Device age contributed to the model risk score.",
+    "DISTANCE_FROM_HOME_SIGNAL": "Distance from home contributed to the model risk score.",
+    "HOUR_SIGNAL": "Transaction hour contributed to the model risk score.",
+    "CURRENCY_SIGNAL": "Currency contributed to the model risk score.",
+    "MERCHANT_CATEGORY_SIGNAL": "Merchant category contributed to the model risk score.",
+    "COUNTRY_SIGNAL": "Country contributed to the model risk score.",
+    "TRANSACTION_TYPE_SIGNAL": "Transaction type contributed to the model risk score.",
+    "CHANNEL_SIGNAL": "Channel contributed to the model risk score.",
+    "INTERNATIONAL_SIGNAL": "International status contributed to the model risk score.",
+}
+STEPS = ("validate", "score", "explain", "collect_evidence", "assess", "finalize")
+
 TXN = """txn AS (
 SELECT 'txn_' || e.event_id AS external_id, 'customer_' || e.user_id AS customer_id, e.value AS amount,
  CASE r.r_name WHEN 'AMERICA' THEN 'USD' WHEN 'EUROPE' THEN 'EUR' ELSE 'BRL' END AS currency,
@@ -83,7 +113,7 @@ def plain(columns) -> str:
 
 REQUIRED = DEFAULT_CONTRACT.required
 oracle("txn_source", f"SELECT {plain(REQUIRED)} FROM txn", TXN)
-oracle("csv_roundtrip", f"SELECT {plain(REQUIRED)} FROM txn WHERE amount > 0", TXN)
+oracle("csv_roundtrip", f"SELECT {plain(REQUIRED)}, amount > 0 AS accepted FROM txn", TXN)
 oracle(
     "store_projection",
     "SELECT external_id, CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount, currency, merchant_category,"
@@ -98,6 +128,13 @@ oracle(
     TXN,
 )
 
+oracle(
+    "store_append_twice",
+    "SELECT external_id, CAST(1 AS BIGINT) AS copies, 'stored' AS outcome FROM txn"
+    " UNION ALL SELECT external_id, CAST(1 AS BIGINT), 'already_stored' FROM txn WHERE k >= 40 AND k < 60",
+    TXN,
+)
+
 _missing = " + ".join(
     f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in DOUBLES else ''})" for c in REQUIRED
 )
@@ -377,7 +414,22 @@ _velocity = (
     + " round(avg(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW), 8) + 0.0 AS avg_amount_last_30d FROM events"
 )
 oracle("velocity_features", _velocity)
-oracle("velocity_hot_customers", _velocity)
+_spoiled = (
+    "(SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN 0 WHEN user_id % 3 = 1 THEN user_id END AS user_id,"
+    " CASE WHEN event_id % 211 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 199 = 0 THEN NULL WHEN event_id % 197 = 0 THEN 1e17::DOUBLE"
+    " WHEN event_id % 193 = 0 THEN 'Infinity'::DOUBLE ELSE value END AS value FROM events)"
+)
+# The look-back average by its definition, as this engine's window refuses values that are not numbers.
+oracle(
+    "velocity_hot_customers",
+    "SELECT event_id AS external_id, CAST(count(*) OVER day AS INTEGER) AS transactions_last_24h,"
+    " CASE WHEN count(value) OVER month = 0 THEN NULL"
+    " WHEN count(*) FILTER (isnan(value)) OVER month > 0 THEN 'NaN'::DOUBLE"
+    " WHEN count(*) FILTER (isinf(value)) OVER month > 0 THEN 'Infinity'::DOUBLE"
+    " ELSE round(sum(CASE WHEN isfinite(value) THEN value ELSE 0 END) OVER month / count(value) OVER month, 8) + 0.0 END AS avg_amount_last_30d"
+    f" FROM {_spoiled} WINDOW day AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW),"
+    " month AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)",
+)
 
 # -- metrics --------------------------------------------------------------------------
 
@@ -435,6 +487,13 @@ def compared(by: str) -> str:
 
 oracle("split_metrics", compared("split"), TXN, PARTED, SPLIT_SCORES, ranking("split"))
 oracle("roc_auc", f"SELECT {r8('roc_auc', 'roc_auc')} FROM ranking", TXN, SCORES, ranking(""))
+oracle(
+    "ranking_continuous",
+    f"SELECT {_ranked} FROM ranking",
+    TXN,
+    "s AS (SELECT is_fraud AS y, CAST((CAST(substr(external_id, 5) AS BIGINT) * 7919) % 1000003 AS DOUBLE) / 1000003.0::DOUBLE AS p FROM txn)",
+    ranking(""),
+)
 oracle(
     "average_precision",
     f"SELECT {r8('average_precision', 'average_precision')} FROM ranking",
@@ -552,6 +611,46 @@ oracle(
     SPLIT_SCORES,
 )
 TWO_MODELS = "s AS (SELECT 'p' AS model, split, is_fraud AS y, p FROM parted UNION ALL SELECT 'p2', split, is_fraud, p2 FROM parted)"
+
+
+def _evaluated(model: str) -> str:
+    """The evaluation of one score column, by the plain counting used for the single queries."""
+    one = f"s AS (SELECT y, p FROM both_ WHERE model = '{model}' AND split = 'validation')"
+    rows = " UNION ALL ".join(
+        f"SELECT '{model}' AS model, split, '{rule}' AS rule, t.threshold AS threshold, {cells('t.threshold')}"
+        f" FROM both_, {source} t WHERE model = '{model}' AND split IN ('validation', 'test') GROUP BY split, t.threshold"
+        for rule, source in (("selected", "(SELECT threshold FROM best)"), ("default", "(SELECT 0.5::DOUBLE AS threshold)"))
+    )
+    return (
+        f"SELECT * FROM (WITH {one}, {sweep(EVERY_SCORE)}, {chosen(0.6)}, cells_ AS ({rows})"
+        f" SELECT model, split, rule, threshold, {COUNTS}, {RATES}, {ACCURACY}, {ALERTS},"
+        + "".join(f" CAST(false_positive + {c} * false_negative AS BIGINT) AS cost_1_{c}," for c in (10, 25, 50))
+        + " (SELECT ok FROM best) AS constraint_satisfied, 0.6::DOUBLE AS target_recall, (SELECT round(rec, 8) + 0.0 FROM best) AS recall_reached FROM cells_)"
+    )
+
+
+_BOTH = TWO_MODELS.replace("s AS (", "both_ AS (", 1)
+oracle(
+    "threshold_evaluation",
+    f"SELECT e.*, {_ranked} FROM ({_evaluated('p')} UNION ALL {_evaluated('p2')}) e JOIN ranking USING (model, split)",
+    TXN,
+    PARTED,
+    _BOTH,
+    ranking("model, split", "both_"),
+)
+oracle(
+    "threshold_curves",
+    f"SELECT model, 'pr' AS curve, {r8('p', 'threshold')}, {r8('tp / positives', 'x_axis')}, {r8('tp / (tp + fp)', 'y_axis')} FROM curve WHERE split = 'validation'"
+    " UNION ALL SELECT DISTINCT model, 'pr', CAST(NULL AS DOUBLE), 0.0::DOUBLE, 1.0::DOUBLE FROM curve WHERE split = 'validation'"
+    f" UNION ALL SELECT model, 'roc', {r8('p', 'threshold')}, {r8('fp / negatives', 'x_axis')}, {r8('tp / positives', 'y_axis')}"
+    " FROM (SELECT *, lag(tp) OVER w AS ptp, lag(fp) OVER w AS pfp, lead(tp) OVER w AS ntp, lead(fp) OVER w AS nfp FROM curve WHERE split = 'validation' WINDOW w AS (PARTITION BY model ORDER BY p DESC))"
+    " WHERE ptp IS NULL OR ntp IS NULL OR ntp - 2 * tp + ptp <> 0 OR nfp - 2 * fp + pfp <> 0"
+    " UNION ALL SELECT DISTINCT model, 'roc', 'Infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM curve WHERE split = 'validation'",
+    TXN,
+    PARTED,
+    _BOTH,
+    ranking("model, split", "both_"),
+)
 oracle("model_comparison", compared("model, split"), TXN, PARTED, TWO_MODELS, ranking("model, split"))
 oracle(
     "model_lookup",
@@ -659,11 +758,13 @@ def scored(source: str) -> str:
     )
 
 
-_prediction = f"probability >= {FIXED_MODEL.threshold} AS prediction"
+_round_p = "round(probability, 8) + 0.0"
 oracle(
     "score_batch",
-    f"SELECT external_id, {r8('probability', 'probability')}, {_prediction}, {FIXED_MODEL.threshold}::DOUBLE AS threshold,"
-    f" '{FIXED_MODEL.name}' AS model_name, '{FIXED_MODEL.version}' AS artifact_version FROM scored WHERE amount > 0",
+    f"SELECT external_id, CASE WHEN ok THEN 'completed' ELSE 'failed' END AS status, CASE WHEN ok THEN {_round_p} END AS probability,"
+    f" CASE WHEN ok THEN probability >= {FIXED_MODEL.threshold} END AS prediction, CASE WHEN ok THEN {FIXED_MODEL.threshold}::DOUBLE END AS threshold,"
+    f" CASE WHEN ok THEN '{FIXED_MODEL.name}' END AS model_name, CASE WHEN ok THEN '{FIXED_MODEL.version}' END AS artifact_version"
+    " FROM (SELECT *, amount > 0 AS ok FROM scored)",
     TXN,
     scored("txn"),
 )
@@ -970,7 +1071,7 @@ oracle(
 
 
 def batch_status(name: str, current: str) -> str:
-    parts = ", ".join((TXN, PARTED, "cur AS (SELECT * FROM parted WHERE split = 'validation' AND amount > 0)", SHIFTED.format("cur"), *report_parts(current)))
+    parts = ", ".join((TXN, PARTED, "cur AS (SELECT * FROM parted WHERE split = 'validation')", SHIFTED.format("cur"), *report_parts(current)))
     return f"SELECT * FROM (WITH {parts} SELECT '{name}' AS batch, (SELECT status FROM quality) AS quality_status, (SELECT round(psi, 8) + 0.0 FROM spsi) AS score_psi, {status()})"
 
 
@@ -980,29 +1081,23 @@ oracle(
     f"SELECT external_id, {r8('amount * 2.5::DOUBLE', 'amount')}, {r8('distance_from_home_km + 100', 'distance_from_home_km')}, 'synthetic_drift_channel' AS channel FROM txn",
     TXN,
 )
-_flags = {
-    "international": "is_international",
-    "new_device": "device_age_days < 60",
-    "high_activity": "transactions_last_24h >= 6",
-    "unusual_hour": "hour <= 5 OR hour >= 23",
-    "large_amount": "amount >= (SELECT quantile_cont(amount, 0.9) FROM txn)",
-    "far_from_home": "distance_from_home_km > 100",
-}
-_raw = (
-    "0.004::DOUBLE + "
-    + " + ".join(f"CASE WHEN {_flags[n]} THEN {w}::DOUBLE ELSE 0 END" for n, w in RULE_WEIGHTS.items())
-    + " + CASE WHEN is_international AND device_age_days < 60 THEN 0.025::DOUBLE ELSE 0 END"
-)
-oracle(
-    "rule_score",
-    f"SELECT external_id, {r8(f'least(greatest({_raw}, 0.002::DOUBLE), 0.20::DOUBLE)', 'rule_score')} FROM txn",
-    TXN,
+_sections = (
+    f"SELECT 0 AS batch, 'numeric' AS section, feature, {r8('psi', 'value')}, {level('psi')} AS level FROM psi"
+    f" UNION ALL SELECT 0, 'categorical', feature, {r8('tvd', 'value')}, {level('tvd')} FROM tvd"
+    f" UNION ALL SELECT 0, 'scores', NULL, {r8('psi', 'value')}, {level('psi')} FROM spsi"
+    " UNION ALL SELECT 0, 'quality', NULL, CAST(row_count AS DOUBLE), status FROM quality"
+    f" UNION ALL SELECT 0, 'summary', NULL, NULL, {status().removesuffix(' AS status')}"
 )
+oracle("report_json", _sections, TXN, PARTED, CUR, *report_parts("cur"))
 oracle(
     "monitor_stream",
-    f"SELECT feature, {r8('psi', 'psi')}, {level('psi')} AS level, (SELECT row_count FROM quality) AS rows, (SELECT status FROM quality) AS quality_status FROM psi",
-    *SIDES,
-    quality("cur"),
-    edges(),
-    bins(),
+    _sections
+    + " UNION ALL SELECT 1, 'quality', NULL, CAST(row_count AS DOUBLE), status FROM spoiled_quality"
+    " UNION ALL SELECT 1, 'refused', NULL, NULL, 'data quality prevents scoring: missing or infinite features' FROM spoiled_quality",
+    TXN,
+    PARTED,
+    CUR,
+    *report_parts("cur"),
+    DIRTY.replace("FROM txn)", "FROM cur)"),
+    quality("dirty").replace("quality AS (", "spoiled_quality AS (", 1),
 )

@@ -121,14 +121,18 @@ def txn_source(spark, folder):
 
 @query
 def csv_roundtrip(spark, folder):
-    good, _ = validate.split_valid(transactions(spark, folder))
+    """Accepted rows by way of a CSV export, rejected rows as they are."""
+    good, rejected = validate.split_valid(transactions(spark, folder))
     path = scratch_path(spark, "csv")
     tables.write_transactions(good.select(*DEFAULT_CONTRACT.required), path, format="csv")
     back = tables.read_transactions(
         spark, path, format="csv",
         schema=T.StructType([good.schema[c] for c in DEFAULT_CONTRACT.required]),
     )
-    return rounded(back)
+    both = back.withColumn("accepted", F.lit(True)).unionByName(
+        rejected.select(*DEFAULT_CONTRACT.required, F.lit(False).alias("accepted"))
+    )
+    return rounded(both)
 
 
 @query
@@ -148,6 +152,17 @@ def store_admission(spark, folder):
     return rounded(rows)
 
 
+@query
+def store_append_twice(spark, folder):
+    """Two overlapping batches into one store: the second time, known ids are refused."""
+    data = transactions(spark, folder)
+    path = scratch_path(spark, "store")
+    refused = [tables.append_to_store(batch, path) for batch in (data.filter("k < 60"), data.filter("k >= 40"))]
+    kept = spark.read.parquet(path).select("external_id", F.lit(1).cast("long").alias("copies"), F.lit("stored").alias("outcome"))
+    parts = [r.select("external_id", "copies", F.col("reason").alias("outcome")) for r in refused]
+    return reduce(DataFrame.unionByName, parts, kept)
+
+
 _models: dict[tuple[str, str], training.BuiltModel] = {}
 
 
@@ -160,21 +175,6 @@ def built_model(spark: SparkSession, folder: str) -> training.BuiltModel:
     return _models[key]
 
 
-@query
-def model_manifest(spark, folder):
-    return artifacts.file_digests(spark, built_model(spark, folder).folder)
-
-
-@query
-def model_verify(spark, folder):
-    return artifacts.verify_digests(spark, built_model(spark, folder).folder)
-
-
-@query
-def metadata_rules(spark, folder):
-    return artifacts.metadata_rules(artifacts.read_metadata(spark, built_model(spark, folder).folder))
-
-
 @query
 def artifact_check(spark, folder):
     path = scratch_path(spark, "model")
@@ -183,10 +183,12 @@ def artifact_check(spark, folder):
 
 @query
 def report_json(spark, folder):
+    """The report written as JSON and read back, as rows (section, feature, value, level)."""
     reference, current = reference_and_current(spark, folder)
     path = scratch_path(spark, "report")
     tables.write_report(fixed_report(reference, current).to_json(), path)
-    return spark.read.schema("section string, json string").json(path)
+    lines = spark.read.schema("section string, json string").json(path).withColumn("batch", F.lit(0))
+    return rounded(flat_sections(lines))
 
 
 # -- contract -------------------------------------------------------------------
@@ -252,10 +254,10 @@ def numeric_profile_by_class(spark, folder):
 
 @query
 def quantiles_distributed(spark, folder):
-    """Quantiles by sorted value counts, the way for columns with very many values."""
+    """Quantiles per class by sorted value counts."""
     data = transactions(spark, folder)
     probabilities = (0.25, 0.5, 0.75, 0.95, 0.99)
-    rows = quantiles(data, DEFAULT_CONTRACT.numeric, probabilities, by=["is_fraud"], max_distinct=0)
+    rows = quantiles(data, DEFAULT_CONTRACT.numeric, probabilities, by=["is_fraud"])
     names = ("p25", "p50", "p75", "p95", "p99")
     return rounded(
         rows.select("is_fraud", "feature", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)])
@@ -372,25 +374,36 @@ def split_summary(spark, folder):
 
 @query
 def velocity_features(spark, folder):
-    return rounded(_velocity(spark, folder))
+    return rounded(_velocity(_customer_events(spark, folder)))
 
 
 @query
 def velocity_hot_customers(spark, folder):
-    """The same columns with every larger customer treated as a hot one."""
-    return rounded(_velocity(spark, folder, hot_rows=60))
+    """The same columns where one customer has a third of all rows and amounts are missing, huge or not numbers."""
+    events = _customer_events(spark, folder)
+    id, customer = F.col("external_id"), F.col("customer_id")
+    amount = (
+        F.when(id % 211 == 0, F.lit(float("nan")))
+        .when(id % 199 == 0, F.lit(None).cast("double"))
+        .when(id % 197 == 0, F.lit(1e17))
+        .when(id % 193 == 0, F.lit(float("inf")))
+        .otherwise(F.col("amount"))
+    )
+    hot = F.when(customer % 3 == 0, F.lit(0)).when(customer % 3 == 1, customer)
+    return rounded(_velocity(events.withColumns({"amount": amount, "customer_id": hot})))
 
 
-def _velocity(spark, folder, **options):
-    events = testdata.table(spark, folder, "events").select(
+def _customer_events(spark, folder):
+    return testdata.table(spark, folder, "events").select(
         F.col("event_id").alias("external_id"),
         F.col("user_id").alias("customer_id"),
         F.col("ts").alias("occurred_at"),
         F.col("value").alias("amount"),
     )
-    return velocity.velocity_features(events, **options).select(
-        "external_id", "transactions_last_24h", "avg_amount_last_30d"
-    )
+
+
+def _velocity(events):
+    return velocity.velocity_features(events).select("external_id", "transactions_last_24h", "avg_amount_last_30d")
 
 
 # -- metrics ------------------------------------------------------------------------
@@ -412,6 +425,16 @@ def roc_auc(spark, folder):
     return rounded(ranking.select("roc_auc"))
 
 
+@query
+def ranking_continuous(spark, folder):
+    """Ranking metrics of a score with one value per row, so that many chunks are summed."""
+    number = F.substring("external_id", 5, 20).cast("long")
+    rows = transactions(spark, folder).select(
+        F.col("is_fraud").alias("y"), (F.pmod(number * 7919, F.lit(1_000_003)) / F.lit(1_000_003.0)).alias("p")
+    )
+    return rounded(metrics.ranking_metrics(metrics.score_counts(rows)))
+
+
 @query
 def average_precision(spark, folder):
     ranking = metrics.ranking_metrics(metrics.score_counts(scores(spark, folder)))
@@ -474,6 +497,24 @@ def frozen_threshold(spark, folder):
     return rounded(metrics.frozen_threshold(stored(scored_parts(spark, folder), "scores")))
 
 
+@query
+def threshold_evaluation(spark, folder):
+    """The whole evaluation of two scores: figures per model, part and rule, and the choice behind them."""
+    return rounded(training.evaluated_thresholds(_two_models(spark, folder)).drop("selection_policy"))
+
+
+@query
+def threshold_curves(spark, folder):
+    """Both validation curves of two scores."""
+    found = metrics.evaluate_thresholds(_two_models(spark, folder))
+    names = {"precision": "y_axis", "recall": "x_axis"}, {"true_positive_rate": "y_axis", "false_positive_rate": "x_axis"}
+    curves = [
+        curve.withColumnsRenamed(axes).withColumn("curve", F.lit(name))
+        for name, curve, axes in zip(("pr", "roc"), (found.pr_curves, found.roc_curves), names, strict=True)
+    ]
+    return rounded(reduce(DataFrame.unionByName, curves))
+
+
 @query
 def trivial_baseline(spark, folder):
     return rounded(metrics.trivial_baseline(scored_parts(spark, folder), by=["split"]))
@@ -558,17 +599,14 @@ def balanced_weights(spark, folder):
 
 @query
 def score_batch(spark, folder):
-    return rounded(scored_fixed(spark, folder))
-
-
-def scored_fixed(spark, folder):
-    valid, _ = validate.split_valid(transactions(spark, folder))
-    return explain.score_linear(valid, FIXED_MODEL).select(
-        "external_id", "probability", "prediction", "threshold", "model_name", "artifact_version"
+    """Every row; a rejected one has a status and no score."""
+    scored = jobs.score_valid(transactions(spark, folder), jobs.linear_scorer(FIXED_MODEL))
+    return rounded(
+        scored.select("external_id", "status", "probability", "prediction", "threshold", "model_name", "artifact_version")
     )
 
 
-_splits: dict[tuple[str, str], DataFrame] = {}
+_splits: dict[tuple[str, str], training.SplitTable] = {}
 _fitted: dict[tuple[str, str, str], tuple[training.FittedModel, DataFrame]] = {}
 
 
@@ -810,10 +848,9 @@ def monitoring_report(spark, folder):
 
 @query
 def monitoring_status(spark, folder):
-    """Overall status of the plain batch and of the shifted one, non-positive amounts removed."""
+    """Overall status of the plain batch and of the shifted one."""
     reference, current = reference_and_current(spark, folder)
-    clean = current.filter("amount > 0")
-    sides = {"plain": clean, "shifted": monitor.shifted(clean)}
+    sides = {"plain": current, "shifted": monitor.shifted(current)}
     rows = [
         fixed_report(reference, side).summary.select(
             F.lit(name).alias("batch"), "quality_status", "score_psi", "status"
@@ -836,11 +873,6 @@ def what_if_shift(spark, folder):
     return rounded(shifted.select("external_id", "amount", "distance_from_home_km", "channel"))
 
 
-@query
-def rule_score(spark, folder):
-    return rounded(monitor.rule_score(transactions(spark, folder)).select("external_id", "rule_score"))
-
-
 # -- streams ------------------------------------------------------------------------
 
 
@@ -872,10 +904,37 @@ def investigation_stream(spark, folder):
 
 @query
 def monitor_stream(spark, folder):
-    """All validation rows as one micro-batch, so that the figures equal the batch ones."""
+    """Two micro-batches: the validation rows, and the same rows spoiled, which are refused."""
     reference, current = reference_and_current(spark, folder)
     source, output, progress = (scratch_path(spark, n) for n in ("current", "drift", "progress"))
-    current.write.parquet(source)
-    stream = spark.readStream.schema(current.schema).parquet(source)
-    jobs.monitor_stream(stream, reference, output, progress).awaitTermination()
-    return rounded(spark.read.parquet(output).drop("batch"))
+    current = stored(current, "validation")
+    for part in (current, dirty(current)):
+        # One file each, so that a file is a micro-batch.
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(current.schema).parquet(source)
+        jobs.monitor_stream(
+            stream, reference, jobs.linear_scorer(FIXED_MODEL), FIXED_MODEL.threshold, output, progress,
+            model_name=FIXED_MODEL.name, artifact_version=FIXED_MODEL.version,
+        ).awaitTermination()
+    return rounded(flat_sections(spark.read.schema("section string, json string, batch int").parquet(output)))
+
+
+def flat_sections(lines: DataFrame) -> DataFrame:
+    """Report lines as rows ``(batch, section, feature, value, level)``."""
+    field = lambda name: F.get_json_object("json", f"$.{name}")
+    section = F.col("section")
+    return lines.filter(section.isin("numeric", "categorical", "scores", "summary", "quality", "refused")).select(
+        "batch",
+        "section",
+        field("feature").alias("feature"),
+        F.when(section == "numeric", field("psi"))
+        .when(section == "categorical", field("tvd"))
+        .when(section == "scores", field("score_psi"))
+        .when(section == "quality", field("row_count"))
+        .cast("double")
+        .alias("value"),
+        F.when(section == "scores", field("score_drift_level"))
+        .when(section == "refused", field("reason"))
+        .otherwise(F.coalesce(field("level"), field("status")))
+        .alias("level"),
+    )

@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
-from riskspark.operators.encode import require_few_levels, scaling_parameters, weight_column
+from riskspark.operators.encode import scaling_parameters, weight_column
 from riskspark.operators.explain import LinearModel, with_prediction
 from riskspark.operators.metrics import (
     DEFAULT_THRESHOLD,
     SELECTION_POLICY,
     TARGET_RECALL,
-    frozen_threshold,
+    ThresholdEvaluation,
+    evaluate_thresholds,
     metric_deltas,
     model_metrics,
     score_sanity,
@@ -35,7 +36,17 @@ from riskspark.operators.metrics import (
     trivial_baseline,
 )
 from riskspark.operators.monitor import MonitoringReport, monitoring_report
-from riskspark.operators.split import TEST, TRAIN, VALIDATION, require_split, temporal_split
+from riskspark.operators.split import (
+    TEST,
+    TRAIN,
+    VALIDATION,
+    TemporalCuts,
+    require_split,
+    split_part,
+    split_summary,
+    temporal_cuts,
+    with_split,
+)
 from riskspark.sources.artifacts import LoadedModel, load_model, save_model, utc_now
 from riskspark.sources.scratch import stored, use_checkpoints
 
@@ -116,31 +127,34 @@ def boosting_pipeline(contract: Contract = DEFAULT_CONTRACT, *, rounds: int = 20
 
 
 def model_pipelines(
-    train: DataFrame, rows: int, contract: Contract = DEFAULT_CONTRACT, *, trees: int = 300, rounds: int = 200
+    train: DataFrame,
+    names: Sequence[str] = MODEL_NAMES,
+    contract: Contract = DEFAULT_CONTRACT,
+    *,
+    trees: int = 300,
+    rounds: int = 200,
 ) -> list[tuple[str, Pipeline]]:
-    """The registered models in their fixed order."""
-    return [
-        (LOGISTIC, logistic_pipeline(train, rows, contract)),
-        (FOREST, forest_pipeline(contract, trees=trees)),
-        (BOOSTING, boosting_pipeline(contract, rounds=rounds)),
-    ]
+    """The named models in their fixed order; only what they need is computed from ``train``."""
+    makers = {
+        LOGISTIC: lambda: logistic_pipeline(train, train.count(), contract),
+        FOREST: lambda: forest_pipeline(contract, trees=trees),
+        BOOSTING: lambda: boosting_pipeline(contract, rounds=rounds),
+    }
+    return [(name, make()) for name, make in makers.items() if name in names]
 
 
-def training_rows(split: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+def training_rows(split: SplitTable, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
     """Features, label and balanced weight of the training part, written once for all passes."""
-    train = split.filter(F.col("split") == TRAIN).select(
+    train = split.part(TRAIN).select(
         *contract.features, F.col(contract.target).cast("int").alias(contract.target)
     )
     return stored(train.withColumn(WEIGHT, weight_column(train, contract)), "train")
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit on written rows; the algorithms keep their own form of them between passes."""
     use_checkpoints(train.sparkSession)
-    cached = train.persist()
-    try:
-        return pipeline.fit(cached)
-    finally:
-        cached.unpersist()
+    return pipeline.fit(train)
 
 
 # -- scoring ------------------------------------------------------------------
@@ -258,23 +272,40 @@ class FittedModel:
     parameters_finite: bool
 
 
-def prepared_split(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
-    """The table with its checked chronological split, written once for the passes that follow."""
-    rows = df.count()
-    split = stored(temporal_split(df, contract), "split")
-    return require_split(split, rows, contract)
+@dataclass(frozen=True)
+class SplitTable:
+    """A table and the two cuts of its chronological split; nothing is copied."""
+
+    rows: DataFrame
+    cuts: TemporalCuts
+    contract: Contract
+
+    def part(self, name: str) -> DataFrame:
+        """The rows of one part, by a filter that reaches the file scan."""
+        return split_part(self.rows, self.cuts, name, self.contract)
+
+    def whole(self) -> DataFrame:
+        return with_split(self.rows, self.cuts, self.contract)
+
+
+def prepared_split(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> SplitTable:
+    """The table with its checked chronological split.
+
+    The check reads ids, times and labels only.
+    """
+    keys = df.select(contract.id, contract.time, contract.target)
+    split = SplitTable(df, temporal_cuts(df, contract), contract)
+    require_split(with_split(keys, split.cuts, contract), keys.count(), contract)
+    return split
 
 
 def fit_models(
-    split: DataFrame, names: Sequence[str] = MODEL_NAMES, contract: Contract = DEFAULT_CONTRACT, **sizes: int
+    split: SplitTable, names: Sequence[str] = MODEL_NAMES, contract: Contract = DEFAULT_CONTRACT, **sizes: int
 ) -> list[FittedModel]:
     """Fit the named models on the training part only."""
     train = training_rows(split, contract)
-    require_few_levels(train, contract.categorical)
     fitted = []
-    for name, pipeline in model_pipelines(train, train.count(), contract, **sizes):
-        if name not in names:
-            continue
+    for name, pipeline in model_pipelines(train, names, contract, **sizes):
         model = fit(pipeline, train)
         last = model.stages[-1]
         weights = last.coefficients if hasattr(last, "coefficients") else last.featureImportances
@@ -284,11 +315,12 @@ def fit_models(
 
 
 def score_models(
-    split: DataFrame, models: Sequence[FittedModel], contract: Contract = DEFAULT_CONTRACT
+    split: SplitTable, models: Sequence[FittedModel], contract: Contract = DEFAULT_CONTRACT
 ) -> DataFrame:
     """All rows scored by all models: ``(model, split, id, y, p)``, written once."""
+    rows = split.whole().select("split", contract.id, contract.target, *contract.features)
     parts = [
-        positive_probability(split, model.pipeline).select(
+        positive_probability(rows, model.pipeline).select(
             F.lit(model.name).alias("model"),
             "split",
             contract.id,
@@ -336,30 +368,31 @@ def comparison_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT, **sizes
 
 
 def evaluated_thresholds(scored: DataFrame, *, target_recall: float = TARGET_RECALL) -> DataFrame:
-    """Per model: test metrics at the threshold chosen on validation and at the default one."""
-    parts = [
-        frozen_threshold(scored.filter(F.col("model") == name), target_recall=target_recall).withColumn(
-            "model", F.lit(name)
-        )
-        for name in MODEL_NAMES
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Per model, part and rule: threshold figures, costs, ranking metrics and how the threshold was chosen."""
+    found = evaluate_thresholds(scored, target_recall=target_recall)
+    chosen = found.selection.select(
+        "model", "constraint_satisfied", "target_recall", "selection_policy", F.col("recall").alias("recall_reached")
+    )
+    return found.metrics.join(found.ranking, ["model", "split"]).join(chosen, "model")
 
 
 def threshold_run(
     df: DataFrame, contract: Contract = DEFAULT_CONTRACT, *, target_recall: float = TARGET_RECALL, **sizes: int
-) -> DataFrame:
-    """Fit all models on train, choose thresholds on validation, freeze them on test."""
+) -> tuple[ThresholdEvaluation, DataFrame]:
+    """Fit all models on train, choose thresholds on validation, freeze them on test.
+
+    Returns the evaluation and the summary of the three parts.
+    """
     split = prepared_split(df, contract)
     scored = score_models(split, fit_models(split, contract=contract, **sizes), contract)
-    return evaluated_thresholds(scored, target_recall=target_recall)
+    return evaluate_thresholds(scored, target_recall=target_recall), split_summary(split.whole(), contract)
 
 
 def baseline_metadata(
-    split: DataFrame, model: FittedModel, threshold: float, target_recall: float, contract: Contract, seed: int
+    split: SplitTable, model: FittedModel, threshold: float, target_recall: float, contract: Contract, seed: int
 ) -> dict[str, object]:
     target = F.col(contract.target).cast("long")
-    facts = split.agg(
+    facts = split.whole().agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(target).alias("positives"),
         F.count_if(F.col("split") == TRAIN).alias("train"),
@@ -416,13 +449,14 @@ def build_model(
 ) -> BuiltModel:
     """Fit on train, choose the threshold on validation, save, reload and compare.
 
-    Test rows are neither scored nor read here. The check compares the two
-    scorings of the whole validation part.
+    No feature of a test row is read and none is scored; the checks of the
+    split and the counts of the metadata read ids, times and labels. The check
+    compares the two scorings of the whole validation part.
     """
     spark = df.sparkSession
     seen = prepared_split(df, contract)
     (model,) = fit_models(seen, [LOGISTIC], contract)
-    validation = seen.filter(F.col("split") == VALIDATION)
+    validation = seen.part(VALIDATION)
     before = stored(positive_probability(validation, model.pipeline), "validation-scores")
     chosen = select_threshold(
         before, y=contract.target, p="probability", target_recall=target_recall

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.contract import ContractError
-from riskspark.functions import is_finite
+from riskspark.functions import is_finite, stripped
 
 # The fields of the metadata, by kind.
 TEXT_FIELDS = (
@@ -76,7 +76,7 @@ def metadata_checks(*, require_digest: bool = True) -> dict[str, Column]:
     """Rule name to the condition that a metadata row must meet."""
     created = F.col("created_at")
     checks: dict[str, Column] = {
-        f"{c}:not_blank": F.length(F.trim(F.col(c))) > 0 for c in TEXT_FIELDS
+        f"{c}:not_blank": F.length(stripped(F.col(c))) > 0 for c in TEXT_FIELDS
     }
     checks["created_at:utc"] = F.try_to_timestamp(created).isNotNull() & created.rlike(
         r"(Z|[+-]00:?00)\z"
@@ -201,7 +201,8 @@ def save_model(
         raise ArtifactError(f"model folder already exists: {folder}")
     pipeline.write().overwrite().save(f"{folder}/model")
     digests = file_digests(spark, folder)
-    digests.coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
+    # Files are hashed in parallel; only their digests go to one file.
+    digests.repartition(1).write.mode("overwrite").json(f"{folder}/manifest")
     complete = {**metadata, "model_sha256": folder_digest(digests)}
     row = metadata_frame(spark, complete)
     require_metadata(row)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,7 +88,10 @@ def admit(batch: DataFrame, existing: DataFrame | None = None) -> tuple[DataFram
     )
     known = F.lit(None).cast("string")
     if existing is not None:
-        ids = existing.select("external_id").distinct().withColumn("_known", F.lit("already_stored"))
+        # Only the batch's ids are looked for; the rest of the store is not shuffled into distinct ids.
+        asked = batch.select("external_id").distinct()
+        ids = existing.select("external_id").join(asked, "external_id", "left_semi").distinct()
+        ids = ids.withColumn("_known", F.lit("already_stored"))
         counted = counted.join(ids, "external_id", "left")
         known = F.col("_known")
     order = ("occurred_at", *[c for c in STORED_COLUMNS if c not in ("external_id", "occurred_at")])
@@ -115,9 +119,23 @@ def admit(batch: DataFrame, existing: DataFrame | None = None) -> tuple[DataFram
     return accepted, refused
 
 
-def append_to_store(batch: DataFrame, path: str, existing: DataFrame | None = None) -> DataFrame:
-    """Append the accepted rows by day, with id and creation time; return the refused rows."""
-    accepted, refused = admit(batch, existing)
+def _stored_ids(spark: SparkSession, path: str) -> DataFrame | None:
+    """Ids of the store at ``path``; None if there is no store yet."""
+    try:
+        return spark.read.parquet(path).select("external_id")
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def append_to_store(batch: DataFrame, path: str) -> DataFrame:
+    """Append the accepted rows by day, with id and creation time; return the refused rows.
+
+    Ids that the store at ``path`` holds are refused. One writer at a time: two
+    that run at once do not see each other's rows.
+    """
+    accepted, refused = admit(batch, _stored_ids(batch.sparkSession, path))
     (
         accepted.withColumn("id", F.uuid())
         .withColumn("created_at", F.current_timestamp())

@@ -13,18 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from riskspark.contract import DEFAULT_CONTRACT, Contract
-from riskspark.functions import drift_level
+from riskspark.contract import DEFAULT_CONTRACT, Contract, ContractError
 from riskspark.operators.explain import LinearModel, score_linear
 from riskspark.operators.investigate import COMPLETED, FAILED, investigate
-from riskspark.operators.monitor import (
-    NumericReference,
-    data_quality,
-    numeric_reference,
-    psi,
-    psi_bins,
-)
-from riskspark.operators.validate import with_violations
+from riskspark.operators.monitor import ReferenceProfile, data_quality, monitoring_report, reference_profile
+from riskspark.operators.validate import require_features, with_violations
+from riskspark.sources.scratch import job, stored
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -102,44 +96,49 @@ def investigate_stream(
 
 def monitor_stream(
     current: DataFrame,
-    reference: DataFrame,
+    reference: DataFrame | ReferenceProfile,
+    score: Scorer,
+    threshold: float,
     output: str,
     checkpoint: str,
     *,
+    model_name: str,
+    artifact_version: str,
     contract: Contract = DEFAULT_CONTRACT,
-    fixed: NumericReference | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Numeric drift and quality of each micro-batch against one reference table.
+    """The whole monitoring report of each micro-batch against one reference.
 
-    The bin edges come from the reference once, before the stream starts; the
-    reference's counts per bin, a few dozen rows, are computed once as well.
+    A micro-batch gives rows ``(section, json)`` in its own ``batch=<n>`` folder.
+    One whose missing or infinite features forbid scoring gives its quality and
+    a row ``refused`` with the reason; the stream goes on. The reference is
+    profiled once, before the stream starts.
     """
-    columns = list(contract.numeric)
-    fixed = fixed or numeric_reference(reference, columns)
-    spark = reference.sparkSession
-    empty = reference.limit(0)
-    counted = psi_bins(reference, empty, fixed.edges)
-    shape = counted.schema
-    reference_bins = [tuple(row) for row in counted.collect()]
+    require_features(current, "Current", contract)
+    known = reference
+    if isinstance(reference, DataFrame):
+        known = reference_profile(reference, score, threshold, contract=contract)
 
     def write(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
+        with job(batch.sparkSession):
+            _write(batch, number)
+
+    def _write(batch: DataFrame, number: int) -> None:
+        # The source of a micro-batch is read by several passes: written once.
+        rows = stored(batch, "micro-batch")
+        if rows.isEmpty():
             return
-        known = spark.createDataFrame(reference_bins, shape)
-        both = known.unionByName(psi_bins(empty, batch, fixed.edges))
-        bins = both.groupBy("feature", "bin").agg(
-            *[F.sum(c).alias(c) for c in shape.fieldNames() if c not in ("feature", "bin")]
-        )
-        quality = data_quality(batch, contract)
-        rows = psi(bins).select(
-            "feature",
-            "psi",
-            drift_level(F.col("psi")).alias("level"),
-            quality.select("row_count").scalar().alias("rows"),
-            quality.select("status").scalar().alias("quality_status"),
-        )
-        rows.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        try:
+            report = monitoring_report(
+                known, rows, score, threshold, model_name=model_name, artifact_version=artifact_version, contract=contract
+            ).to_json()
+        except ContractError as error:
+            quality = data_quality(rows, contract)
+            line = F.to_json(F.struct(F.lit(str(error)).alias("reason")))
+            report = quality.select(F.lit("quality").alias("section"), F.to_json(F.struct("*")).alias("json")).unionByName(
+                quality.select(F.lit("refused").alias("section"), line.alias("json"))
+            )
+        report.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     writer = current.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, interval).start()

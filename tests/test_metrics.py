@@ -122,3 +122,10 @@ def test_unknown_model_is_an_error(spark):
 
 def test_performance_without_labels_is_absent(spark):
     assert metrics.performance_report(spark.range(3).select(F.lit(0.5).alias("p")), 0.5) is None
+
+
+def test_billions_of_ties_do_not_overflow(spark):
+    counts = spark.createDataFrame([(0.5, 4_000_000_000, 4_000_000_000, 4_000_000_000, 4_000_000_000)], "p double, pos long, neg long, tp long, fp long")
+    counts = counts.withColumns({"positives": F.col("tp"), "negatives": F.col("fp")})
+    row = metrics.ranking_metrics(counts).first()
+    assert (row["roc_auc"], row["average_precision"]) == (0.5, 0.5)

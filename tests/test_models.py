@@ -132,11 +132,17 @@ def test_class_weights_are_balanced(spark):
     assert weights == {0: pytest.approx(10 / 18), 1: 5.0}
 
 
-def test_too_many_levels_are_refused(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"), F.lit("x").alias("d"))
-    encode.require_few_levels(df, ["c", "d"])
-    with pytest.raises(ContractError, match="category: c"):
-        encode.require_few_levels(df, ["c", "d"], limit=20)
+def test_many_levels_are_one_constant(spark):
+    levels = {f"l'{i}\\": i / 7 for i in range(5000)}
+    model = explain.LinearModel(0.0, {}, {"c": levels}, codes={"c": "C"})
+    df = spark.createDataFrame([("l'4321\\", 4321 / 7), ("other", 0.0), (None, 0.0)], "c string, want double")
+    rows = df.select("want", explain.feature_contribution(model, "c").alias("got")).collect()
+    assert [r["got"] for r in rows] == [r["want"] for r in rows]
+
+
+def test_missing_values_do_not_spoil_the_scaling(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    assert encode.scaling_parameters(df, ["x"]) == {"x": (2.0, 1.0)}
 
 
 def test_constant_feature_scales_to_zero(spark):
@@ -155,9 +161,15 @@ def test_model_runs_are_bounded_and_repeatable(spark, table):
 
 
 def test_threshold_run_freezes_the_validation_choice(spark, table):
-    rows = training.threshold_run(table, trees=5, rounds=3).collect()
-    assert {(r["model"], r["rule"]) for r in rows} == {(m, k) for m in training.MODEL_NAMES for k in ("selected", "default")}
+    found, summary = training.threshold_run(table, trees=5, rounds=3)
+    rows = found.metrics.collect()
+    keys = {(m, s, k) for m in training.MODEL_NAMES for s in ("validation", "test") for k in ("selected", "default")}
+    assert {(r["model"], r["split"], r["rule"]) for r in rows} == keys
     assert all(r["threshold"] == 0.5 for r in rows if r["rule"] == "default")
+    chosen = {r["model"]: r["threshold"] for r in found.selection.collect()}
+    assert all(r["threshold"] == chosen[r["model"]] for r in rows if r["rule"] == "selected")
+    assert found.ranking.count() == 6 and summary.count() == 3
+    assert found.pr_curves.select("model").distinct().count() == found.roc_curves.select("model").distinct().count() == 3
 
 
 def test_importances_are_ranked(spark, table):
@@ -170,7 +182,7 @@ def test_importances_are_ranked(spark, table):
 
 def test_monitoring_with_a_stored_model(spark, table, loaded):
     split = training.prepared_split(table)
-    reference, current = (split.filter(F.col("split") == p) for p in ("train", "validation"))
+    reference, current = (split.part(p) for p in ("train", "validation"))
     report = training.monitor(reference, current, loaded)
     assert report.summary.first()["artifact_version"] == training.ARTIFACT_VERSION
     assert report.performance.first()["predicted_positive_count"] == report.scores.first()["alert_count"]

@@ -6,8 +6,6 @@ import __spark_entry__ as entry
 from tests.compare import difference, duck
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# Hundreds of trees; their operators are tested with few trees in test_models.
-LONG_RUNS = {"rf_scores", "gbt_scores", "feature_importances", "comparison_run", "comparison_deltas", "threshold_run"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -17,7 +15,7 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - LONG_RUNS))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, connection, name):
     result = entry.queries()[name](spark, FOLDER)
     plan = result._jdf.queryExecution().optimizedPlan().toString()

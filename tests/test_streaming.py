@@ -38,18 +38,52 @@ def test_investigated_stream_equals_the_batch(spark, tmp_path):
     assert got == batch.select(*columns).orderBy("external_id").collect()
 
 
-def test_each_micro_batch_is_compared_with_the_reference(spark, tmp_path):
+def monitored(stream, reference, out, progress):
+    monitor_stream(
+        stream, reference, linear_scorer(FIXED_MODEL), FIXED_MODEL.threshold, out, progress, model_name="m", artifact_version="v"
+    ).awaitTermination()
+
+
+def test_each_micro_batch_has_the_report_of_its_rows(spark, tmp_path):
     reference = transactions(spark, 300)
     out = str(tmp_path / "out")
-    monitor_stream(source(spark, tmp_path), reference, out, str(tmp_path / "progress")).awaitTermination()
+    monitored(source(spark, tmp_path), reference, out, str(tmp_path / "progress"))
     rows = spark.read.parquet(out)
     assert rows.select("batch").distinct().count() == 3
-    assert rows.groupBy("batch").agg(F.max("rows").alias("rows")).agg(F.sum("rows")).first()[0] == 90
-    assert rows.count() == 21
+    counted = rows.filter("section = 'quality'").select(F.get_json_object("json", "$.row_count").cast("int").alias("n"))
+    assert counted.agg(F.sum("n")).first()[0] == 90
 
     whole = str(tmp_path / "whole")
     stream = read_transactions(spark, str(tmp_path / "in"), stream=True)
-    monitor_stream(stream, reference, whole, str(tmp_path / "progress2")).awaitTermination()
-    batch = monitor.population_stability(reference, transactions(spark, 90, BAD), list(monitor.DEFAULT_CONTRACT.numeric))
-    expected = {r["feature"]: round(r["psi"], 9) for r in batch.collect()}
-    assert {r["feature"]: round(r["psi"], 9) for r in spark.read.parquet(whole).collect()} == expected
+    monitored(stream, reference, whole, str(tmp_path / "progress2"))
+    batch = monitor.monitoring_report(
+        reference, transactions(spark, 90, BAD), linear_scorer(FIXED_MODEL), FIXED_MODEL.threshold, model_name="m", artifact_version="v"
+    )
+    lines = lambda df: sorted((r["section"], "".join(sorted(r["json"]))[:200]) for r in df.collect())
+    got, want = lines(spark.read.parquet(whole)), lines(batch.to_json())
+    assert [x[0] for x in got] == [x[0] for x in want] and len(got) >= 7 + 6 + 3
+
+
+def test_a_batch_that_cannot_be_scored_is_refused_with_its_reason(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    reference = transactions(spark, 100)
+    for number, change in enumerate(({}, {3: {"amount": float("nan")}}, {4: {"amount": None}}, {5: {"amount": float("inf")}})):
+        transactions(spark, 40, change).coalesce(1).write.mode("append").parquet(path)
+        monitored(read_transactions(spark, path, stream=True), reference, out, str(tmp_path / "progress"))
+    rows = spark.read.parquet(out)
+    sections = {r["batch"]: r["s"] for r in rows.groupBy("batch").agg(F.collect_set("section").alias("s")).collect()}
+    assert "summary" in sections[0] and "refused" not in sections[0]
+    assert all(sorted(sections[i]) == ["quality", "refused"] for i in (1, 2, 3))
+
+
+def test_tables_of_a_job_go_with_it(spark):
+    from pathlib import Path
+
+    from riskspark.sources.scratch import job, stored
+
+    with job(spark) as folder:
+        inner = stored(spark.range(5), "inner")
+        kept = stored(inner.selectExpr("id * 2 as id"), "kept", keep=True)
+        assert Path(folder.removeprefix("file:")).exists()
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert kept.count() == 5
