@@ -56,7 +56,7 @@ def _hash(kind: int, *codes: np.ndarray) -> np.ndarray:
 def words_of(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words per text; per feature its slot; per word its first feature; per word its hash.
 
-    A word is a run of letters, in lower case.
+    A word is a run of letters, in lower case. There is at least one text.
     """
     lowered = [t.lower() for t in texts]
     codes = np.frombuffer(("\n".join(lowered) + "\n").encode("utf-32-le", "replace"), dtype=np.uint32)
@@ -145,6 +145,9 @@ def fit(texts: list[str], langs: list[str], rule: WordLabels = WordLabels()) ->
     """
     labels = sorted(set(langs))
     k = len(labels)
+    if not texts:
+        nothing = np.zeros((0, 0), np.float32)
+        return {"labels": [], "weights": np.zeros((_SLOTS, 0), np.float32), "words": np.zeros(0, np.uint64), "word_weights": nothing, "change": nothing}
     letters = _letters()
     counts, slots, begin, whole = words_of(texts, letters)
     types, one, type_of = np.unique(whole, return_index=True, return_inverse=True)

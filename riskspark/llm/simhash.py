@@ -243,7 +243,7 @@ def links(prints: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFra
         ).alias("_unit"),
     ).select("word", "leaf", "fingerprint", "_unit.*")
 
-    def search(key, part: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.groupby("fingerprint", as_index=False, sort=True)["home"].max() if len(part) else part
         joined = np.frombuffer(b"".join(part["fingerprint"]), dtype=np.uint8)
         return _search(joined, int(key[0]), part["home"].to_numpy(bool), rule)
