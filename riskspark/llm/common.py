@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row below.
 _ROW_BITS = 33
+# Size of the bit map in ``split_by_ids``: at most as many numbers come to the driver.
+_BITS = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +52,29 @@ def hash_share(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1_000_003)) / F.lit(1_000_003.0)
 
 
+def split_by_ids(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key surely is not in ``ids``, the others), told apart without moving a row.
+
+    ``ids`` has one column. A bit map of the hashed ids, of a fixed size, is sent
+    to the tasks: the more ids, the more rows are in the second part, which a
+    join then decides. A NULL key is in no set of ids.
+    """
+    place = lambda column: F.pmod(F.xxhash64(column.cast("long")), F.lit(_BITS)).cast("int")
+    places = ids.select(place(F.col(ids.columns[0])).alias("place")).distinct().toArrow().column(0)
+    bits = np.zeros(_BITS, dtype=bool)
+    bits[places.to_numpy()] = True
+    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    @F.arrow_udf("boolean")
+    def listed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bits = np.unpackbits(held.value).astype(bool)
+        for part in parts:
+            yield pa.array(bits[part.to_numpy(zero_copy_only=False)])
+
+    maybe = F.col(key).isNotNull() & listed(place(F.col(key)))
+    return rows.filter(~maybe), rows.filter(maybe)
+
+
 def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Add the 0-based place of each row within its ``by`` group along ``order``.
 
