@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table turns unit vectors by three rounds of random signs and a fast Hadamard
-transform; a vector's bucket is the signed axis next to it. A query probes, in
-every table, the buckets of its next axes in order of nearness. The candidates
-of all probed buckets are ranked by the exact inner product.
+transform; a vector's bucket is the signed axis next to it, or the pair of axes
+of two such turns. A query probes, in every table, the buckets of its next axes
+in order of nearness. The candidates of all probed buckets are ranked by the
+exact inner product.
 """
 
 from __future__ import annotations
@@ -21,18 +22,25 @@ from riskspark.llm.vectors import matrix, top_rows, usable, widest
 from riskspark.sources.scratch import stored
 
 
+#: Vectors hashed at a time in a task.
+_ROWS = 512
+
+
 @dataclass(frozen=True)
 class CrossPolytope:
     """``every``: rows whose id it divides are queries.
 
-    ``tables`` hash tables, ``probes`` buckets of each, more while those hold
-    fewer than ``least`` rows. ``rows`` and ``queries``: most candidates and
+    ``tables`` hash tables of ``turns`` pseudo-rotations (1 or 2) each: of 64
+    dimensions, 128 or 16,384 buckets. Two are for tables of many millions of
+    rows, with more probes. ``probes`` buckets of each table are read, more
+    while those hold fewer than ``least`` rows. ``rows`` and ``queries``: most candidates and
     queries that meet in a task at once; a larger bucket is split.
     """
 
     k: int = 20
     every: int = 20
     tables: int = 8
+    turns: int = 1
     probes: int = 16
     least: int = 256
     rows: int = 4096
@@ -41,7 +49,7 @@ class CrossPolytope:
 
 
 def _signs(width: int, rule: CrossPolytope) -> np.ndarray:
-    return np.random.default_rng(rule.seed).choice(np.array([-1.0, 1.0]), (rule.tables, 3, width))
+    return np.random.default_rng(rule.seed).choice(np.array([-1.0, 1.0]), (rule.tables, rule.turns, 3, width))
 
 
 def _turned(unit: np.ndarray, signs: np.ndarray) -> np.ndarray:
@@ -57,15 +65,16 @@ def _turned(unit: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return unit
 
 
-def _axes(vectors: np.ndarray, signs: np.ndarray, table: int) -> np.ndarray:
-    """Nearness of each row to each signed axis: axis j, then its opposite."""
-    width = signs.shape[2]
+def _buckets(vectors: np.ndarray, signs: np.ndarray, table: int) -> np.ndarray:
+    """Nearness of each row to each bucket of a table: a signed axis (j, then its opposite), or a pair of them."""
+    width = signs.shape[3]
     padded = np.zeros((len(vectors), width))
     padded[:, : vectors.shape[1]] = vectors
     # Scaled by the largest component first, so that no square over- or underflows.
     padded /= np.abs(padded).max(axis=1, keepdims=True)
-    turned = _turned(padded / np.linalg.norm(padded, axis=1, keepdims=True), signs[table])
-    return np.concatenate([turned, -turned], axis=1)
+    padded /= np.linalg.norm(padded, axis=1, keepdims=True)
+    axes = [np.concatenate([t, -t], axis=1) for t in (_turned(padded, s) for s in signs[table])]
+    return axes[0] if len(axes) == 1 else (axes[0][:, :, None] + axes[1][:, None, :]).reshape(len(vectors), -1)
 
 
 def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -92,22 +101,24 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
         for batch in batches:
             vectors = matrix(batch.column(1), dimensions)
             for t in range(rule.tables):
-                nearest = _axes(vectors, signs, t).argmax(axis=1).astype(np.int32)
+                at = range(0, len(vectors), _ROWS)
+                nearest = np.concatenate([np.zeros(0, np.int64), *[_buckets(vectors[i : i + _ROWS], signs, t).argmax(axis=1) for i in at]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nearest), t, np.int32)), pa.array(nearest), batch.column(0), batch.column(1)], ["table", "bucket", "vec_id", "v"])
 
     index = good.mapInArrow(place, "table int, bucket int, vec_id long, v array<double>")
-    # A bucket's size, at most 2 * width numbers a table.
+    # A bucket's size: one number for each bucket of a table comes to the driver.
     counts = index.groupBy("table", "bucket").count().collect()
-    sizes = np.zeros((rule.tables, 2 * width), dtype=np.int64)
+    sizes = np.zeros((rule.tables, (2 * width) ** rule.turns), dtype=np.int64)
     for t, b, n in counts:
         sizes[t, b] = n
     splits = np.maximum(1, -(-sizes // rule.rows))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (batch.slice(i, _ROWS) for batch in batches for i in range(0, batch.num_rows, _ROWS))
+        for batch in parts:
             vectors = matrix(batch.column(1), dimensions)
             for t in range(rule.tables):
-                order = np.argsort(-_axes(vectors, signs, t), axis=1, kind="stable")
+                order = np.argsort(-_buckets(vectors, signs, t), axis=1, kind="stable")
                 held = np.cumsum(sizes[t][order], axis=1)
                 wanted = np.maximum(rule.probes, (held < min(rule.least, held[0, -1])).sum(axis=1) + 1)
                 wanted = np.minimum(wanted, order.shape[1])
@@ -127,7 +138,7 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
         asked[t, b] = n
     askers = np.maximum(1, -(-asked // rule.queries))
     # Unit (i, j) of a bucket: its i-th part of the candidates meets its j-th part of the queries.
-    parts = lambda counts: F.element_at(F.from_json(F.lit(str(counts.ravel().tolist())), "array<int>"), F.col("table") * (2 * width) + F.col("bucket") + 1)
+    parts = lambda counts: F.element_at(F.from_json(F.lit(str(counts.ravel().tolist())), "array<int>"), F.col("table") * sizes.shape[1] + F.col("bucket") + 1)
     own = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     as_rows = index.select("table", "bucket", own(parts(splits)).alias("i"), every(parts(askers)).alias("j"), "vec_id", "v")

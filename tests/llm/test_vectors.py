@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from riskspark.llm import chat, cross_polytope, topk
+from riskspark.llm.common import split_by_ids
 
 
 def rows(n, width=64, copies=0, seed=2):
@@ -42,10 +43,10 @@ def test_bounds_drop_candidates_but_no_answer():
         assert sorted(score)[::-1] == sorted(want)[::-1][:5] and all(want[i] == s for i, s in zip(found, score))
 
 
-@pytest.mark.parametrize(("n", "copies"), [(30, 0), (2000, 0), (2000, 700)])
-def test_recall(spark, n, copies):
+@pytest.mark.parametrize(("n", "copies", "more"), [(30, 0, {}), (2000, 0, {}), (2000, 700, {}), (2000, 0, {"turns": 2, "probes": 2000})])
+def test_recall(spark, n, copies, more):
     data = rows(n, copies=copies)
-    rule = cross_polytope.CrossPolytope(rows=128, queries=16)
+    rule = cross_polytope.CrossPolytope(rows=128, queries=16, **more)
     got = cross_polytope.search(spark.createDataFrame(data, "vec_id long, embedding array<float>"), rule).toPandas()
     v = np.array([np.float32(x) for _, x in data], dtype=np.float64)
     found = 0
@@ -82,3 +83,12 @@ def test_long_dialogue_is_cut_into_parts(spark):
     assert len(whole) == 3
     for text in whole.values():
         assert [int(x.split("<")[0]) for x in "".join(text).split("said ")[1:]] == list(range(200))
+
+
+def test_rows_are_told_apart_by_ids(spark):
+    rows = spark.createDataFrame([(i, "x") for i in range(500)] + [(None, "y")], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in (3, 77, 499, 10_000)], "id long")
+    never, maybe = split_by_ids(rows, "doc_id", ids)
+    assert {3, 77, 499} <= {r["doc_id"] for r in maybe.collect()}
+    assert never.count() + maybe.count() == 501 and maybe.count() < 20
+    assert never.filter("doc_id is null").count() == 1
