@@ -822,6 +822,15 @@ oracle(
     TXN,
 )
 
+oracle(
+    "fit_checks",
+    "SELECT model, split, count(*) AS rows, count(*) FILTER (WHERE is_fraud = 1) AS positives, count(*) FILTER (WHERE is_fraud = 0) AS negatives, count(*) AS scores_in_range"
+    " FROM parted, (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS model) GROUP BY model, split",
+    TXN,
+    PARTED,
+)
+oracle("logistic_gradient", "SELECT true AS at_optimum")
+
 # A sound explanation rebuilds every row, and a reloaded model scores every row alike.
 oracle("reconstruction_check", "SELECT count(*) AS rows, count(*) AS reconstructed FROM txn", TXN)
 oracle(
@@ -1088,6 +1097,15 @@ _sections = (
     " UNION ALL SELECT 0, 'quality', NULL, CAST(row_count AS DOUBLE), status FROM quality"
     f" UNION ALL SELECT 0, 'summary', NULL, NULL, {status().removesuffix(' AS status')}"
 )
+oracle(
+    "monitoring_run",
+    "SELECT batch, section, feature, CASE WHEN section IN ('scores', 'summary') THEN 1.0::DOUBLE ELSE value END AS value,"
+    f" CASE WHEN section IN ('scores', 'summary') THEN 'known' ELSE level END AS level FROM ({_sections})",
+    TXN,
+    PARTED,
+    CUR,
+    *report_parts("cur"),
+)
 oracle("report_json", _sections, TXN, PARTED, CUR, *report_parts("cur"))
 oracle(
     "monitor_stream",

@@ -641,6 +641,27 @@ def gbt_scores(spark, folder):
     return fitted(spark, folder, training.BOOSTING)[1]
 
 
+@query
+def fit_checks(spark, folder):
+    """Rows, classes and scores in [0, 1] of every fitted model and part."""
+    p = F.col("p")
+    return all_scores(spark, folder).groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("y") == 1).alias("positives"),
+        F.count_if(F.col("y") == 0).alias("negatives"),
+        F.count_if(p.between(0, 1)).alias("scores_in_range"),
+    )
+
+
+@query
+def logistic_gradient(spark, folder):
+    """Whether the fitted logistic model stands at the optimum of its objective."""
+    model, _ = fitted(spark, folder, training.LOGISTIC)
+    split = _splits[spark.conf.get("spark.app.id", "local"), folder]
+    train = training.training_rows(split)
+    return training.largest_gradient(model.pipeline, train).select((F.col("largest") < 1e-5).alias("at_optimum"))
+
+
 @query
 def feature_importances(spark, folder):
     return training.feature_importances(spark, fitted(spark, folder, training.FOREST)[0].pipeline)
@@ -862,9 +883,19 @@ def monitoring_status(spark, folder):
 
 @query
 def monitoring_run(spark, folder):
-    """Monitoring by the stored model, as one row per report line."""
+    """Monitoring by the stored model; what depends on the fit is given as whether it is in its range."""
     model = artifacts.load_model(spark, built_model(spark, folder).folder)
-    return training.monitor(*reference_and_current(spark, folder), model).to_json()
+    rows = flat_sections(training.monitor(*reference_and_current(spark, folder), model).to_json().withColumn("batch", F.lit(0)))
+    fitted_part = F.col("section").isin("scores", "summary")
+    known_level = F.col("level").isin("low", "moderate", "high", "healthy", "warning", "critical")
+    return rounded(
+        rows.withColumns(
+            {
+                "value": F.when(fitted_part, F.coalesce((F.col("value") >= 0).cast("double"), F.lit(1.0))).otherwise(F.col("value")),
+                "level": F.when(fitted_part, F.when(known_level, "known")).otherwise(F.col("level")),
+            }
+        )
+    )
 
 
 @query

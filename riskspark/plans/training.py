@@ -48,7 +48,7 @@ from riskspark.operators.split import (
     with_split,
 )
 from riskspark.sources.artifacts import LoadedModel, load_model, save_model, utc_now
-from riskspark.sources.scratch import stored, use_checkpoints
+from riskspark.sources.scratch import job, stored, use_checkpoints
 
 # Model names in comparison order, and their settings.
 LOGISTIC = "Logistic Regression"
@@ -157,6 +157,23 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 
 
+def largest_gradient(pipeline: PipelineModel, train: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+    """One row: the largest absolute derivative of the logistic objective, per training row.
+
+    The objective is half the squared coefficients plus the weighted loss; at
+    its optimum every derivative is 0.
+    """
+    classifier = pipeline.stages[-1]
+    label = F.col(contract.target).cast("double")
+    residual = F.col(WEIGHT) * (vector_to_array(F.col("probability"))[1] - label)
+    rows = pipeline.transform(train).select(residual.alias("_residual"), vector_to_array(FEATURES).alias("_x"))
+    # The last place is the intercept's, which has no penalty.
+    terms = rows.select("_residual", F.posexplode(F.concat("_x", F.array(F.lit(1.0)))).alias("place", "x"))
+    penalty = F.element_at(F.lit([*map(float, classifier.coefficients), 0.0]), F.col("place") + 1)
+    sums = terms.groupBy("place").agg(F.sum(F.col("_residual") * F.col("x")).alias("loss"), F.count(F.lit(1)).alias("rows"))
+    return sums.agg(F.max(F.abs(F.col("loss") + penalty) / F.col("rows")).alias("largest"))
+
+
 # -- scoring ------------------------------------------------------------------
 
 
@@ -350,21 +367,23 @@ def baseline_summary(scored: DataFrame, model: FittedModel) -> DataFrame:
 
 def baseline_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
     """Split, fit the logistic baseline on train, evaluate all parts."""
-    split = prepared_split(df, contract)
-    (model,) = fit_models(split, [LOGISTIC], contract)
-    return baseline_summary(score_models(split, [model], contract), model)
+    with job(df.sparkSession):
+        split = prepared_split(df, contract)
+        (model,) = fit_models(split, [LOGISTIC], contract)
+        return stored(baseline_summary(score_models(split, [model], contract), model), "baseline", keep=True)
 
 
 def compared_models(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Metrics per model and split, and their differences to the logistic baseline."""
-    metrics = stored(model_metrics(scored, DEFAULT_THRESHOLD, by=["model", "split"]), "comparison")
+    metrics = stored(model_metrics(scored, DEFAULT_THRESHOLD, by=["model", "split"]), "comparison", keep=True)
     return metrics, metric_deltas(metrics, LOGISTIC)
 
 
 def comparison_run(df: DataFrame, contract: Contract = DEFAULT_CONTRACT, **sizes: int) -> tuple[DataFrame, DataFrame]:
     """Fit all models once on the same training part and compare them."""
-    split = prepared_split(df, contract)
-    return compared_models(score_models(split, fit_models(split, contract=contract, **sizes), contract))
+    with job(df.sparkSession):
+        split = prepared_split(df, contract)
+        return compared_models(score_models(split, fit_models(split, contract=contract, **sizes), contract))
 
 
 def evaluated_thresholds(scored: DataFrame, *, target_recall: float = TARGET_RECALL) -> DataFrame:
@@ -454,17 +473,19 @@ def build_model(
     compares the two scorings of the whole validation part.
     """
     spark = df.sparkSession
-    seen = prepared_split(df, contract)
-    (model,) = fit_models(seen, [LOGISTIC], contract)
-    validation = seen.part(VALIDATION)
-    before = stored(positive_probability(validation, model.pipeline), "validation-scores")
-    chosen = select_threshold(
-        before, y=contract.target, p="probability", target_recall=target_recall
-    ).first()
-    metadata = baseline_metadata(seen, model, chosen["threshold"], target_recall, contract, seed)
-    written = save_model(model.pipeline, metadata, folder, spark, overwrite=overwrite)
-    after = positive_probability(validation, load_model(spark, folder).pipeline)
-    return BuiltModel(folder, written, compare_scorings(before, after, chosen["threshold"], contract))
+    with job(spark):
+        seen = prepared_split(df, contract)
+        (model,) = fit_models(seen, [LOGISTIC], contract)
+        validation = seen.part(VALIDATION).select(contract.id, contract.target, *contract.features)
+        before = stored(positive_probability(validation, model.pipeline), "validation-scores")
+        chosen = select_threshold(
+            before, y=contract.target, p="probability", target_recall=target_recall
+        ).first()
+        metadata = baseline_metadata(seen, model, chosen["threshold"], target_recall, contract, seed)
+        written = save_model(model.pipeline, metadata, folder, spark, overwrite=overwrite)
+        after = positive_probability(validation, load_model(spark, folder).pipeline)
+        check = stored(compare_scorings(before, after, chosen["threshold"], contract), "check", keep=True)
+    return BuiltModel(folder, written, check)
 
 
 def compare_scorings(

@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from riskspark.plans.queries import QUERIES
 from tests.compare import difference, duck
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -15,7 +16,7 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     result = entry.queries()[name](spark, FOLDER)
     plan = result._jdf.queryExecution().optimizedPlan().toString()
