@@ -254,18 +254,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> np.ndarra
     return w
 
 
-def fit(labelled: DataFrame, rule: Grammar = Grammar(), *, id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> dict:
-    """Learn the insults and the weights from a bounded sample of labelled rows.
+def fit(docs: DataFrame, labels: DataFrame, rule: Grammar = Grammar(), *, id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> dict:
+    """Learn the insults and the weights from a bounded sample of the documents with labels.
 
-    Rows without text or label are not learned from. Without rows of both
-    labels, the prior weights and no insults are used.
+    The sample is drawn from the labels alone, so only the sampled texts move.
+    Rows without text or label are not learned from; a document with several
+    labels is learned from once for each. Without rows of both labels, the
+    prior weights and no insults are used.
     """
-    rows = labelled.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(toxic).cast("int").alias("toxic"))
-    rows = rows.filter(F.col("text").isNotNull() & F.col("toxic").isin(0, 1) & (F.octet_length("text") <= rule.sample_bytes))
-    known = dict(rows.groupBy("toxic").count().collect())
+    marks = labels.select(F.col(id).alias("_id"), F.col(toxic).cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1))
+    known = dict(marks.groupBy("toxic").count().collect())
     wanted = {1: rule.toxic / max(1, known.get(1, 0)), 0: rule.clean / max(1, known.get(0, 0))}
-    share = hash_share(F.col("doc_id"), F.lit("toxicity"))
-    chosen = rows.filter(share < F.when(F.col("toxic") == 1, wanted[1]).otherwise(wanted[0])).limit(2 * (rule.toxic + rule.clean))
+    share = hash_share(F.col("_id"), F.lit("toxicity"))
+    drawn = marks.filter(share < F.when(F.col("toxic") == 1, wanted[1]).otherwise(wanted[0])).limit(2 * (rule.toxic + rule.clean))
+    rows = docs.select(F.col(id).alias("_doc"), F.col(text).cast("string").alias("text"))
+    rows = rows.filter(F.col("text").isNotNull() & (F.octet_length("text") <= rule.sample_bytes))
+    # At most 2 * (toxic + clean) ids and labels are sent.
+    chosen = rows.join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).limit(4 * (rule.toxic + rule.clean))
     chosen = stored(chosen.select("text", "toxic"), "toxicity-sample")
     found = insults(chosen, rule) if len(known) == 2 else {}
 
@@ -308,10 +313,5 @@ def score(docs: DataFrame, model: dict, name: str, *, text: str = "text") -> Dat
 
 
 def label(docs: DataFrame, labels: DataFrame, rule: Grammar = Grammar()) -> DataFrame:
-    """All rows and columns of ``docs`` and ``_toxicity``; learns from the documents with a row in ``labels``.
-
-    A document with several labels is learned from once for each.
-    """
-    marks = labels.select(F.col("doc_id").alias("_label_id"), F.col("toxic").alias("_label"))
-    train = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_label_id"))
-    return score(docs, fit(train, rule, toxic="_label"), fresh(docs, "_toxicity"))
+    """All rows and columns of ``docs`` and ``_toxicity``; learns from the documents with a row in ``labels``."""
+    return score(docs, fit(docs, labels, rule), fresh(docs, "_toxicity"))
