@@ -60,7 +60,7 @@ ARTIFACT_VERSION = "logistic-baseline-v1"
 SPLIT_STRATEGY = "chronological_70_15_15_by_occurred_at"
 ALLCLOSE_RELATIVE, ALLCLOSE_ABSOLUTE = 1e-5, 1e-8
 
-WEIGHT, FEATURES = "_weight", "_features"
+WEIGHT, FEATURES, ORDER = "_weight", "_features", "_order"
 
 
 # -- pipelines ----------------------------------------------------------------
@@ -146,15 +146,23 @@ def model_pipelines(
 def training_rows(split: SplitTable, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
     """Features, label and balanced weight of the training part, written once for all passes."""
     train = split.part(TRAIN).select(
-        *contract.features, F.col(contract.target).cast("int").alias(contract.target)
+        *contract.features,
+        F.col(contract.target).cast("int").alias(contract.target),
+        F.xxhash64(contract.id).alias(ORDER),
     )
     return stored(train.withColumn(WEIGHT, weight_column(train, contract)), "train")
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit on written rows; the algorithms keep their own form of them between passes."""
-    use_checkpoints(train.sparkSession)
-    return pipeline.fit(train)
+    """Fit on written rows; the algorithms keep their own form of them between passes.
+
+    Sampling depends on where a row stands, so rows are dealt by a hash of the
+    id: two fits of the same rows are equal, whatever files hold them.
+    """
+    spark = train.sparkSession
+    use_checkpoints(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return pipeline.fit(train.repartition(parts, ORDER).sortWithinPartitions(ORDER))
 
 
 def largest_gradient(pipeline: PipelineModel, train: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
