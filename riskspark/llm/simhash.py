@@ -39,7 +39,8 @@ class NearDuplicates:
     ``link``: most differing bits, over all words, of linked fingerprints. With
     one word and ``radius`` = ``link`` every link is found. With several words,
     a pair is found if it meets in one of the trees.
-    ``leaf``: fingerprints in a shard, as far as vantage points from a sample of
+    ``near``: with several words, a pair is compared in full if its word differs
+    by no more. ``leaf``: fingerprints in a shard, as far as vantage points from a sample of
     ``sample`` fingerprints can cut; a larger shard is searched in blocks.
     """
 
@@ -47,6 +48,7 @@ class NearDuplicates:
     width: int = 1
     radius: int = 2
     link: int = 2
+    near: int = 16
     leaf: int = 4096
     sample: int = 16_384
     seed: int = 5
@@ -166,7 +168,7 @@ def _pairs(home: np.ndarray, guests: np.ndarray, words: np.ndarray, full: np.nda
     for at in range(0, len(guests), max(1, (1 << 20) // len(home))):
         block = guests[at : at + max(1, (1 << 20) // len(home))]
         close = np.bitwise_count(words[home][:, None] ^ words[block][None, :])
-        h, g = np.nonzero(close <= (rule.radius if rule.width == 1 else max(rule.radius, 16)))
+        h, g = np.nonzero(close <= (rule.radius if rule.width == 1 else max(rule.radius, rule.near)))
         h, g = home[h], block[g]
         if rule.width > 1 and len(h):
             ok = np.bitwise_count(full[h] ^ full[g]).sum(axis=1) <= rule.link
