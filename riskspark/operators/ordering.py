@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.contract import ContractError
-from riskspark.functions import instant, micros_of, to_rows
+from riskspark.functions import instant, micros_of
 from riskspark.sources.scratch import stored
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row below.
