@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -52,6 +53,15 @@ def hash_share(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1_000_003)) / F.lit(1_000_003.0)
 
 
+def give_back() -> None:
+    """Return a worker's freed memory to the system; called at the end of a task, as the worker stays."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def split_by_ids(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose key surely is not in ``ids``, the others), told apart without moving a row.
 

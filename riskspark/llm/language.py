@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import hash_share
+from riskspark.llm.common import give_back, hash_share
 
 _SLOTS = 1 << 16
 #: Letters hashed at a time: bounds the memory of a task whatever the texts' lengths.
@@ -260,6 +260,7 @@ def predict(docs: DataFrame, model: dict, *, id: str = "doc_id", text: str = "te
                     out += part
                 at = stop
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(sizes, pa.int64())], ["doc_id", "lang_pred", "score", "words"])
+        give_back()
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(each, "doc_id long, lang_pred string, score double, words long")

@@ -26,8 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.llm.common import give_back
+
 MARK = "▁"
-_KEPT = 500_000  # segments and pairs kept by a worker
+# Segments and pairs kept by a worker, as they come: the frequent ones come early.
+_KEPT = 400_000
 _FAR = float("inf")
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -147,9 +150,8 @@ class Transducer:
     def _may_follow(self, left: int, right: int) -> bool:
         pieces = self.v.pieces
         found = self._merged(pieces[left] + pieces[right]) == [pieces[left], pieces[right]]
-        if len(self.pairs) >= _KEPT:
-            self.pairs.clear()
-        self.pairs[left * len(pieces) + right] = found
+        if len(self.pairs) < _KEPT:
+            self.pairs[left * len(pieces) + right] = found
         return found
 
     def _arcs(self, segment: str, start: int) -> list[tuple[int, int]]:
@@ -233,9 +235,7 @@ class Transducer:
     def _word(self, word: str) -> bytes:
         """Ids of what stands between two runs of marks, with the run before it."""
         found = b"".join(self._ids(x) for x in self.segment.findall(word))
-        if len(word) <= 64:
-            if len(self.known) >= _KEPT:
-                self.known.clear()
+        if len(word) <= 32 and len(self.known) < _KEPT:
             self.known[word] = found
         return found
 
@@ -302,6 +302,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, id: str = "doc_id", text:
                 numbers = pa.array(np.frombuffer(b"".join(flat), dtype="<i4"))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), numbers, mask=pa.array([e is None for e in exact]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, at - first), lists, pa.array(exact, pa.bool_())], ["doc_id", "ids", "exact"])
+                del numbers, lists, flat
+        give_back()
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(each, "doc_id long, ids array<int>, exact boolean")

@@ -16,13 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import hash_share
+from riskspark.llm.common import give_back, hash_share
 from riskspark.sources.scratch import stored
 
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -86,6 +85,7 @@ def fingerprints(docs: DataFrame, rule: NearDuplicates = NearDuplicates(), *, id
         for batch in batches:
             prints = [fingerprint(t.as_py(), rule.words, rule.width) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], ["doc_id", "fingerprint"])
+        give_back()
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(each, "doc_id long, fingerprint binary")
@@ -176,14 +176,13 @@ def _pairs(home: np.ndarray, guests: np.ndarray, words: np.ndarray, full: np.nda
         yield h, g
 
 
-def _search(prints: np.ndarray, word: int, home: np.ndarray, rule: NearDuplicates) -> pd.DataFrame:
+def _search(full: np.ndarray, word: int, home: np.ndarray, rule: NearDuplicates) -> tuple[list[bytes], list[bytes]]:
     """One edge per linked fingerprint of a shard towards the first of its local group."""
-    full = prints.view("<u8").reshape(-1, rule.width)
     words, label = full[:, word].copy(), np.arange(len(full))
     for h, g in _pairs(np.flatnonzero(home), np.arange(len(full)), words, full, rule):
         label = _groups(label[h], label[g], len(full))[label] if len(h) else label
     own = np.flatnonzero(label != np.arange(len(full)))
-    return pd.DataFrame({"left": [full[i].tobytes() for i in own], "right": [full[label[i]].tobytes() for i in own]})
+    return [full[i].tobytes() for i in own], [full[label[i]].tobytes() for i in own]
 
 
 def links(prints: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
@@ -208,6 +207,7 @@ def links(prints: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFra
                         [pa.array(np.full(len(at), w, np.int32)), pa.array(np.full(len(at), leaf, np.int32)), pa.array(home), pa.array([values[i] for i in at], pa.binary())],
                         ["word", "leaf", "home", "fingerprint"],
                     )
+        give_back()
 
     seen = stored(prints.select("fingerprint").mapInArrow(visits, "word int, leaf int, home boolean, fingerprint binary"), "visits")
     # A leaf that vantage points could not cut small is searched block by block: each
@@ -245,12 +245,15 @@ def links(prints: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFra
         ).alias("_unit"),
     ).select("word", "leaf", "fingerprint", "_unit.*")
 
-    def search(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.groupby("fingerprint", as_index=False, sort=True)["home"].max() if len(part) else part
-        joined = np.frombuffer(b"".join(part["fingerprint"]), dtype=np.uint8)
-        return _search(joined, int(key[0]), part["home"].to_numpy(bool), rule)
+    def search(part: pa.Table) -> pa.Table:
+        word = part.column("word")[0].as_py()
+        part = part.group_by("fingerprint").aggregate([("home", "max")]).sort_by("fingerprint")
+        prints = np.frombuffer(b"".join(part.column("fingerprint").to_pylist()), dtype="<u8").reshape(-1, rule.width)
+        left, right = _search(prints, word, part.column("home_max").to_numpy(), rule)
+        give_back()
+        return pa.table({"left": pa.array(left, pa.binary()), "right": pa.array(right, pa.binary())})
 
-    return units.groupBy("word", "leaf", "block", "other", "inner").applyInPandas(search, "left binary, right binary")
+    return units.groupBy("word", "leaf", "block", "other", "inner").applyInArrow(search, "left binary, right binary")
 
 
 def components(edges: DataFrame) -> DataFrame:

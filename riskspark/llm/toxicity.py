@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import fresh, hash_share
+from riskspark.llm.common import fresh, give_back, hash_share
 from riskspark.sources.scratch import stored
 
 # Words of the grammar's closed classes in English, German, French and Spanish.
@@ -308,6 +308,7 @@ def score(docs: DataFrame, model: dict, name: str, *, text: str = "text") -> Dat
                 x = np.array(_features(found, len(text))) if found else nothing
                 z[i] = x @ weights[:-1] + weights[-1]
             yield pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
+        give_back()
 
     return docs.withColumn(name, measure(F.col(text).cast("string")))
 
