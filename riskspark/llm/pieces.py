@@ -14,7 +14,6 @@ of frequent segments are kept.
 
 from __future__ import annotations
 
-import itertools
 import re
 import sys
 from array import array
@@ -105,6 +104,7 @@ class Transducer:
         self.v = v
         self.ids = {p: i for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k in (1, 4)}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k == 6}
+        self.longest = max(map(len, self.ids), default=1)
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         # Arcs as a tree by characters; a piece that merging never makes has none.
@@ -157,7 +157,7 @@ class Transducer:
     def _arcs(self, segment: str, start: int) -> list[tuple[int, int]]:
         """(end, piece) of the pieces that begin at a border, short to long."""
         node, found = self.tree, []
-        for c in segment[start:] if len(segment) < 64 else itertools.islice(segment, start, None):
+        for c in segment[start : start + self.longest]:
             node = node.get(c)
             if node is None:
                 break

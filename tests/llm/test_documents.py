@@ -8,7 +8,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskspark.llm import kneser_ney, language, mixing, pieces, queries, sharding, simhash, toxicity
@@ -199,7 +198,7 @@ def test_pieces_equal_the_library(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=queries.MODEL)
     vocabulary = pieces.load(spark, queries.MODEL)
     texts = [r["text"] for r in documents(spark).select("text").limit(400).collect()]
-    texts += ["", " ", "  a  b ", "a\nb\n\n c\t", "日本語 émoji😀x", "▁x ▁▁ y", "<s> a </s> <unk>", "a" * 3000, "\u0000�", "1234567890" * 20]
+    texts += ["", " ", "  a  b ", "a\nb\n\n c\t", "日本語 émoji😀x", "▁x ▁▁ y", "<s> a </s> <unk>", "a" * 3000, "\u0000�", "1234567890" * 20, "中文没有空格" * 30_000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     encoded = pieces.encode(docs, vocabulary)
     for row in encoded.collect():
