@@ -19,6 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 _ROW_BITS = 33
 # Size of the bit map in ``split_by_ids``: at most as many numbers come to the driver.
 _BITS = 1 << 22
+_BATCH = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,17 @@ def hash_share(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1_000_003)) / F.lit(1_000_003.0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python at most 4 MB at a time; a setting of the session, which a smaller one stays.
+
+    The default lets a batch have 10,000 texts, in the executor's memory and in
+    the worker's.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > _BATCH:
+        spark.conf.set(name, str(_BATCH))
+
+
 def give_back() -> None:
     """Return a worker's freed memory to the system; called at the end of a task, as the worker stays."""
     pa.default_memory_pool().release_unused()

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import give_back
+from riskspark.llm.common import give_back, small_batches
 
 MARK = "▁"
 # Segments and pairs kept by a worker, as they come: the frequent ones come early.
-_KEPT = 400_000
+_KEPT = 300_000
 _FAR = float("inf")
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -280,6 +280,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, id: str = "doc_id", text:
     rows alike; other columns are ignored; an empty table gives an empty one.
     """
     parts = tuple(getattr(vocabulary, f.name) for f in fields(vocabulary))
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(parts)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

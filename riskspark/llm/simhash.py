@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import give_back, hash_share
+from riskspark.llm.common import give_back, hash_share, small_batches
 from riskspark.sources.scratch import stored
 
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -87,6 +87,7 @@ def fingerprints(docs: DataFrame, rule: NearDuplicates = NearDuplicates(), *, id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], ["doc_id", "fingerprint"])
         give_back()
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(each, "doc_id long, fingerprint binary")
 

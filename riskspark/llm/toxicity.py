@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import fresh, give_back, hash_share
+from riskspark.llm.common import fresh, give_back, hash_share, small_batches
 from riskspark.sources.scratch import stored
 
 # Words of the grammar's closed classes in English, German, French and Spanish.
@@ -295,6 +295,7 @@ def score(docs: DataFrame, model: dict, name: str, *, text: str = "text") -> Dat
     A NULL or empty text is scored as a text without matches. Repeated rows are
     scored alike; an empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("double")
     def measure(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
