@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from riskspark.llm import kneser_ney, language, mixing, pieces, queries, sharding, simhash, toxicity
+from riskspark.llm import kneser_ney, language, mixing, pieces, queries, sharding, simhash, similar, toxicity
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 given = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -144,6 +144,37 @@ def test_near_copies_of_the_pipeline(spark, empty):
     assert len(kept & copies) <= 2
 
 
+def plain_shingles(text, words=5):
+    parts = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    return {" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+
+def test_every_pair_of_the_wanted_similarity_is_linked(spark):
+    """Far and near pairs around 0.8, against all pairs; one line is in many texts."""
+    rng = np.random.default_rng(8)
+    line = "one line that many of the texts have in common with each other"
+    texts = {}
+    for i in range(0, 600, 2):
+        words = [f"v{x}" for x in rng.integers(0, 5000, int(rng.integers(20, 200)))]
+        texts[i] = " ".join(words + line.split() * (i % 3))
+        for at in rng.choice(len(words), max(1, int(len(words) * rng.uniform(0, 0.04))), replace=False):
+            words[at] = "changed"
+        texts[i + 1] = " ".join(words + line.split() * (i % 3))
+    texts |= {600: line, 601: f"{line} {line}", 602: "", 603: None, 604: "Two  Words", 605: "two words", 606: f"{line} {line} {line}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = {k: plain_shingles(t) for k, t in texts.items()}
+    want = {k: k for k in texts}
+    for a, b in itertools.combinations(texts, 2):
+        both = len(sets[a] & sets[b])
+        if (9 * both >= 4 * (len(sets[a]) + len(sets[b])) if both else sets[a] == sets[b]) and want[a] != want[b]:
+            old, new = max(want[a], want[b]), min(want[a], want[b])
+            want = {k: new if v == old else v for k, v in want.items()}
+    found = defaultdict(set)
+    for r in similar.near_copies(docs).collect():
+        found[r["component"]].add(r["doc_id"])
+    assert {k: min(g) for g in found.values() for k in g} == want
+
+
 # -- mixing -------------------------------------------------------------------
 
 
