@@ -175,6 +175,23 @@ def test_every_pair_of_the_wanted_similarity_is_linked(spark):
     assert {k: min(g) for g in found.values() for k in g} == want
 
 
+def test_texts_below_the_wanted_similarity_stay(spark, empty):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(0, 400, 2):
+        words = [f"u{i}x{j}" for j in range(184)]  # 180 shingles
+        rows.append((i, " ".join(words)))
+        for at in range(5, 5 * int(rng.integers(5, 7)), 5):  # each takes 5 shingles: 4 or 5 give 0.8 or 0.756
+            words[at] = "changed"
+        rows.append((i + 1, " ".join(words)))
+    same = lambda a, b: len(plain_shingles(a) & plain_shingles(b)) / len(plain_shingles(a) | plain_shingles(b))
+    copies = {b[0] for a, b in zip(rows[::2], rows[1::2]) if same(a[1], b[1]) >= 0.8}
+    assert 20 < len(copies) < 180
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, empty).collect()}
+    assert kept == {i for i, _ in rows} - copies
+
+
 # -- mixing -------------------------------------------------------------------
 
 
