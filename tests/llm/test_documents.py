@@ -192,6 +192,14 @@ def test_texts_below_the_wanted_similarity_stay(spark, empty):
     assert kept == {i for i, _ in rows} - copies
 
 
+def test_repeated_ids_are_decided_by_their_texts(spark, empty):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (3, text("c")), (3, text("d")), (4, text("e")), (4, text("e").upper()), (4, text("e"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(5), empty).collect())
+    assert kept == sorted([(1, text("a")), (2, text("b")), (3, text("c")), (3, text("d")), (4, text("e").upper())])
+
+
 # -- mixing -------------------------------------------------------------------
 
 
