@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import give_back, hash_share
+from riskspark.sources.scratch import stored
 
 _SLOTS = 1 << 16
 #: Letters hashed at a time: bounds the memory of a task whatever the texts' lengths.
@@ -26,15 +27,14 @@ _SLICE = 1 << 20
 
 @dataclass(frozen=True)
 class WordLabels:
-    """``sample_docs``: most documents fitted per language. ``sample_bytes``: longest of them.
+    """``sample_docs``: documents fitted per language, about. ``sample_bytes``: longest of them.
 
-    ``languages``: the most frequent values of the label column that are
-    learned. ``lexicon``: most words with a weight of their own.
+    Every value of the label column is learned. ``lexicon``: most words with a
+    weight of their own.
     """
 
     sample_docs: int = 250
     sample_bytes: int = 20_000
-    languages: int = 64
     lexicon: int = 20_000
     least_count: int = 5
     rounds: int = 25
@@ -183,11 +183,12 @@ def fit(texts: list[str], langs: list[str], rule: WordLabels = WordLabels()) ->
             if sequences and len(before):
                 move = np.exp(model["change"] - model["change"].max())
                 local = np.exp(score - score.max(axis=1, keepdims=True))
-                pairs = ahead[before][:, :, None] * move[None] * (local[before + 1] * back[before + 1])[:, None, :]
-                pairs /= pairs.sum(axis=(1, 2), keepdims=True)
+                # Expected moves, summed over the words without a square of labels for each.
+                after = local[before + 1] * back[before + 1]
+                whole_chance = ((ahead[before] @ move) * after).sum(axis=1, keepdims=True)
                 seen = np.zeros((k, k))
                 np.add.at(seen, (gold[before], gold[before + 1]), 1.0)
-                steps[2] = (seen - pairs.sum(axis=0)) / len(whole)
+                steps[2] = (seen - move * ((ahead[before] / whole_chance).T @ after)) / len(whole)
             for name, step, square in zip(("weights", "word_weights", "change"), steps, squares):
                 step = step - rule.penalty * model[name]
                 square += step**2
@@ -200,17 +201,23 @@ def fit(texts: list[str], langs: list[str], rule: WordLabels = WordLabels()) ->
 
 
 def sample(docs: DataFrame, rule: WordLabels, *, id: str, text: str, lang: str) -> list:
-    """At most about ``sample_docs`` labelled rows per language, chosen by a hash of the id."""
-    short = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.octet_length(text) <= rule.sample_bytes))
-    known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count()
-    known = known.orderBy(F.col("count").desc(), "lang").limit(rule.languages).collect()
-    if not known:
-        return []
-    wanted = F.lit(0.0)
-    for row in known:
-        wanted = F.when(F.col(lang) == row["lang"], F.lit(rule.sample_docs / row["count"])).otherwise(wanted)
-    chosen = short.filter(hash_share(F.col(id), F.lit("language")) < wanted)
-    return chosen.select(F.col(text).alias("text"), F.col(lang).alias("lang")).limit(2 * rule.sample_docs * len(known)).collect()
+    """At most about ``sample_docs`` labelled rows per language, chosen by a hash of the id.
+
+    Of a language without a text of ``sample_bytes``, longer texts are chosen
+    and the words of a stretch of each, at a place given by a hash, are taken.
+    """
+    named = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    named = named.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).withColumn("_short", F.octet_length("text") <= rule.sample_bytes)
+    known = stored(named.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"), F.count_if("_short").alias("_shorts")), "languages")
+    chars = rule.sample_bytes // 4
+    start = F.floor(hash_share(F.col("id"), F.lit("stretch")) * F.greatest(F.length("text") - chars, F.lit(1))).cast("int")
+    # Where no blank is near, the stretch stands as it is cut.
+    stretch = F.substring(F.col("text"), start + 1, F.lit(chars))
+    stretch = F.when(F.regexp_like(stretch, F.lit(r"\s\S[\s\S]*\s")), F.regexp_replace(stretch, r"^\S*\s|\s\S*$", " ")).otherwise(stretch)
+    wanted = F.col("_short") | (F.col("_shorts") == 0)
+    share = rule.sample_docs / F.when(F.col("_shorts") > 0, F.col("_shorts")).otherwise(F.col("_rows"))
+    chosen = named.join(known, "lang").filter(wanted & (hash_share(F.col("id"), F.col("text"), F.lit("language")) < share))
+    return chosen.select(F.when(F.col("_short"), F.col("text")).otherwise(stretch).alias("text"), "lang").collect()
 
 
 def predict(docs: DataFrame, model: dict, *, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -51,6 +51,22 @@ def test_word_counts_and_code_switching():
     assert [model["labels"][x] for x in labels] == ["en"] * 11 + ["de"] * 10
 
 
+def test_every_language_is_learned(spark):
+    """70 languages, one of which has only texts longer than a sampled one."""
+    rng = np.random.default_rng(2)
+    own = {f"l{k:02d}": ["".join(chr(0x4E00 + 40 * k + x) for x in rng.integers(0, 40, 4)) for _ in range(12)] for k in range(70)}
+    rows = []
+    for name, words in own.items():
+        size = 800 if name == "l69" else 30
+        rows += [(len(rows) + i, " ".join(rng.choice(words, size)), name) for i in range(3 if name == "l69" else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rule = language.WordLabels(sample_bytes=4_000, rounds=6, least_count=2)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.label(docs, docs, rule).collect()}
+    assert got == {i: name for i, _, name in rows}
+    sampled = language.sample(docs, rule, id="doc_id", text="text", lang="lang")
+    assert max(len(r["text"].encode()) for r in sampled) <= rule.sample_bytes and {w for r in sampled if r["lang"] == "l69" for w in r["text"].split()} <= set(own["l69"])
+
+
 @given
 def test_language_held_out(spark):
     found = queries.op2_language_id(spark, FOLDER).join(documents(spark).select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
