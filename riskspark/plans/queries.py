@@ -940,8 +940,8 @@ def monitor_stream(spark, folder):
     source, output, progress = (scratch_path(spark, n) for n in ("current", "drift", "progress"))
     current = stored(current, "validation")
     for part in (current, dirty(current)):
-        # One file each, so that a file is a micro-batch.
-        part.coalesce(1).write.mode("append").parquet(source)
+        # A run without a limit of files takes all new ones as one micro-batch.
+        part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(current.schema).parquet(source)
         jobs.monitor_stream(
             stream, reference, jobs.linear_scorer(FIXED_MODEL), FIXED_MODEL.threshold, output, progress,

@@ -1,6 +1,11 @@
+import glob
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from riskspark.operators import investigate, monitor
+from riskspark.plans import queries
 from riskspark.plans.queries import FIXED_MODEL
 from riskspark.sources.tables import read_transactions
 from riskspark.streaming import investigate_stream, monitor_stream, score_stream
@@ -87,3 +92,14 @@ def test_tables_of_a_job_go_with_it(spark):
         assert Path(folder.removeprefix("file:")).exists()
     assert not Path(folder.removeprefix("file:")).exists()
     assert kept.count() == 5
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_monitored_parts_keep_their_files(spark, monkeypatch):
+    plain, paths = queries.scratch_path, {}
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name, **more: paths.setdefault(name, plain(spark, name, **more)))
+    kept = queries.stored
+    monkeypatch.setattr(queries, "stored", lambda df, label, **more: kept(df, label, **more).repartition(4))
+    rows = queries.monitor_stream(spark, "/root/testdata/sf0.001").collect()
+    assert len(glob.glob(f"{paths['current'].removeprefix('file:')}/*.parquet")) > 2
+    assert {r["batch"] for r in rows} == {0, 1}
