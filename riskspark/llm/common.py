@@ -97,8 +97,8 @@ def split_by_ids(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame,
     return rows.filter(~maybe), rows.filter(maybe)
 
 
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Add the 0-based place of each row within its ``by`` group along ``order``.
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str, *, total: str | None = None) -> DataFrame:
+    """Add the 0-based place of each row within its ``by`` group along ``order``, and the group's rows as ``total``.
 
     One range exchange on (by, order), so a group that holds a third of all rows
     spreads over many partitions. Only one row per group and partition is
@@ -122,9 +122,10 @@ def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str)
         F.col(chunk).alias("_part"),
         first,
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(before),
+        F.sum("_rows").over(Window.partitionBy(*by)).alias("_whole"),
     )
     same = F.col(chunk) == F.col("_part")
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
     place = (F.col(before) + F.col(at) - F.col(first)).cast("long").alias(name)
-    return rows.join(parts, same).select(*df.columns, place)
+    return rows.join(parts, same).select(*df.columns, place, *([F.col("_whole").alias(total)] if total else []))

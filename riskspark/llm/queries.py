@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import string
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, cross_polytope, kneser_ney, language, mixing, pieces, sharding, simhash, topk, toxicity
+from riskspark.llm import chat, cross_polytope, kneser_ney, language, lexical, merkle, mixing, pieces, pii, sharding, simhash, sql, topk, toxicity
 from riskspark.llm.common import fold, table
 
 #: Model file of the tokenizer; SENTENCEPIECE_MODEL names another one.
@@ -87,11 +88,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed={"text": lowered}, where=tampered)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    lines = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [number(kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.col("digest").alias("base_sha256"), F.array_join(lines, ",").alias("spans"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_language_id, op3_simhash_near_dedup, op4_source_mixing, op5_exact_topk,
         op6_sentencepiece, op7_histogram_sharding, op8_quality_classifier, op9_cross_polytope_search, op10_toxicity,
+        op11_merkle_manifest, op12_ranked_search, op13_pii,
     )
 }
 
@@ -164,6 +184,9 @@ state{k + 1} AS (
 
 
 ORACLES = {
+    "op11_merkle_manifest": sql.manifest(),
+    "op12_ranked_search": sql.ranked_search(),
+    "op13_pii": sql.personal_data(),
     "op1_chat_formatting": _chat_sql(),
     "op4_source_mixing": _mixing_sql(),
     "op5_exact_topk": """

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, _size long, score double, shard int, `_h` string, vec_id long"
 LABELS = "doc_id long, quality int, toxic int"
 EMBEDDINGS = "vec_id long, embedding array<float>, label int, score string, rank string"
+BENCHMARK = "item_id long, text string, doc_id string, score string, rank int, term int"
 CONVERSATIONS = "conv_id long, turn long, role string, text string, part string, perspective int"
 
 LONG = " ".join(f"the word{i % 97} of is idiot" for i in range(40_000))
@@ -38,6 +39,12 @@ def embeddings() -> list[tuple]:
     return [(i, v, 1, "clash", "clash") for i, v in rows]
 
 
+def benchmark() -> list[tuple]:
+    rows = [(0, "The cat is ON the mat, the Haus"), (1, None), (2, ""), (3, "--- ..."), (4, "nothing of this zzz"), (5, "the cat is on the mat")]
+    rows += [(5, "the cat is on the mat"), (5, "idiot"), (None, "dog cat the the"), (6, "日本語 é"), (7, LONG)]
+    return [(*r, "clash", "clash", 1, 2) for r in rows]
+
+
 def conversations() -> list[tuple]:
     rows = [(1, t, "user" if t % 2 else "assistant", f"turn {t}") for t in range(150)]
     rows += [(2, 0, "system", "be kind"), (2, 1, "ann", None), (2, 2, "bob", ""), (2, 2, "bob", ""), (2, None, None, "who?"), (2, 3, " ", "<|im_end|>")]
@@ -51,6 +58,7 @@ def write(spark: SparkSession, folder: str, *, empty: bool = False) -> str:
         ("labels", labels(), LABELS),
         ("embeddings", embeddings(), EMBEDDINGS),
         ("conversations", conversations(), CONVERSATIONS),
+        ("benchmark", benchmark(), BENCHMARK),
     ):
         spark.createDataFrame([] if empty else rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
     return folder

@@ -11,7 +11,7 @@ from tests.compare import difference, duck
 from tests.llm import tables
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-PER_DOCUMENT = [n for n in QUERIES if n.split("_")[0] in ("op2", "op3", "op4", "op6", "op7", "op8", "op10")]
+PER_DOCUMENT = [n for n in QUERIES if n.split("_")[0] in ("op2", "op3", "op4", "op6", "op7", "op8", "op10", "op11", "op13")]
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -40,7 +40,7 @@ def test_sql(spark, awkward, name, where):
         connection = duck(folder)
     else:
         connection = duckdb.connect()
-        for table in ("documents", "conversations"):
+        for table in ("documents", "conversations", "benchmark"):
             connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
     assert difference(QUERIES[name](spark, folder), connection, ORACLES[name]) is None
 
