@@ -88,7 +88,7 @@ def personal_data() -> str:
     }
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     cut = " UNION ALL ".join(
-        f"SELECT rid, {k} AS k, {quoted(kind)} AS kind, text, regexp_extract_all(text, {quoted(p)}) AS found, string_split_regex(text, {quoted(p)}) AS gaps FROM texts"
+        f"SELECT rid, {k} AS k, {quoted(kind)} AS kind, regexp_extract_all(text, {quoted(p)}) AS found, string_split_regex(text, {quoted(p)}) AS gaps FROM texts"
         for k, (kind, p) in enumerate(patterns.items())
     )
     digits = "regexp_replace(s, '[^0-9]', '', 'g')"
@@ -103,14 +103,14 @@ def personal_data() -> str:
     return f"""
 WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 cut AS ({cut}),
-each AS (SELECT rid, k, kind, text, unnest(found) AS s, unnest(gaps[1:len(found)]) AS gap, unnest(range(1, len(found) + 1)) AS i FROM cut WHERE len(found) > 0),
+each AS (SELECT rid, k, kind, unnest(found) AS s, unnest(gaps[1:len(found)]) AS gap, unnest(gaps[2:]) AS after, unnest(range(1, len(found) + 1)) AS i FROM cut WHERE len(found) > 0),
 placed AS (SELECT *, sum(length(gap) + length(s)) OVER (PARTITION BY rid, k ORDER BY i) AS stop, CASE WHEN kind = 'account' THEN {tail} ELSE s END AS tail FROM each),
 spans AS (
   SELECT rid, k, kind, stop - length(tail) AS start, stop FROM placed WHERE CASE kind
     WHEN 'ip' THEN len(list_filter(string_split(s, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(ltrim(x, '0') AS INT), 0) > 255)) = 0
     WHEN 'card' THEN length({digits}) BETWEEN 16 AND 19 AND {doubled} % 10 = 0
     WHEN 'phone' THEN length({digits}) BETWEEN 8 AND 15
-    WHEN 'account' THEN NOT regexp_matches(substr(text, CAST(stop + 1 AS BIGINT), 1), '[A-Za-z0-9_]') AND (tail[1] BETWEEN '0' AND '9' OR {iban})
+    WHEN 'account' THEN NOT regexp_matches(after, '^[A-Za-z0-9_]') AND (tail[1] BETWEEN '0' AND '9' OR {iban})
     ELSE true END),
 lines AS (
   SELECT rid, {', '.join(f"count(*) FILTER (kind = {quoted(b)}) AS n_{b}" for b in pii.BASE)},
