@@ -17,8 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row below.
 _ROW_BITS = 33
-# Size of the bit map in ``split_by_ids``: at most as many numbers come to the driver.
-_BITS = 1 << 22
+# Least and greatest size of the bit map in ``split_by_ids``: 8 KB to 4 MB are sent to the tasks.
+_BITS = (1 << 16, 1 << 25)
 _BATCH = 4 << 20
 
 
@@ -77,13 +77,15 @@ def give_back() -> None:
 def split_by_ids(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose key surely is not in ``ids``, the others), told apart without moving a row.
 
-    ``ids`` has one column. A bit map of the hashed ids, of a fixed size, is sent
-    to the tasks: the more ids, the more rows are in the second part, which a
-    join then decides. A NULL key is in no set of ids.
+    ``ids`` has one column. A bit map of the hashed ids is sent to the tasks, with
+    16 places or more an id: at most a sixteenth of the other rows are in the
+    second part, which a join then decides. Beyond 2 million ids the map stays
+    at 4 MB and that share grows. A NULL key is in no set of ids.
     """
-    place = lambda column: F.pmod(F.xxhash64(column.cast("long")), F.lit(_BITS)).cast("int")
+    size = min(max(_BITS[0], 1 << (16 * ids.count()).bit_length()), _BITS[1])
+    place = lambda column: F.pmod(F.xxhash64(column.cast("long")), F.lit(size)).cast("int")
     places = ids.select(place(F.col(ids.columns[0])).alias("place")).distinct().toArrow().column(0)
-    bits = np.zeros(_BITS, dtype=bool)
+    bits = np.zeros(size, dtype=bool)
     bits[places.to_numpy()] = True
     held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits))
 

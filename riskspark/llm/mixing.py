@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import ranked, word_count
+from riskspark.llm.common import fresh, ranked, word_count
 from riskspark.sources.scratch import stored
 
 #: No source is taken more often than this, so no document is either.
@@ -70,21 +70,20 @@ def source_targets(sizes: DataFrame, plan: Mixing) -> DataFrame:
     return sources.select("_source", "_source_size", target.alias("_target"), offset.alias("_offset"))
 
 
-def copies(docs: DataFrame, plan: Mixing = Mixing(), *, id: str = "doc_id", source: str = "source", text: str = "text", carry: bool = True) -> DataFrame:
-    """Every row with ``_size``, ``_source_size``, ``_target`` and ``_copies`` (0 or more).
+def copies(docs: DataFrame, plan: Mixing = Mixing(), *, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """``_id``, ``_size``, ``_source_size``, ``_target`` and ``_copies`` (0 or more) of every row.
 
-    ``carry`` keeps all columns of ``docs``; otherwise only the id stays. A
-    NULL text has size 0. A source without words has target 0 and no copies.
+    A NULL text has size 0. A source without words has target 0 and no copies.
     Rows that repeat are counted and sampled as rows of their own. An empty
-    table gives an empty one. Columns of ``docs`` beginning with ``_`` that
-    clash with the four are replaced.
+    table gives an empty one. Other columns are ignored.
     """
-    ours = ("_source", "_size", "_id")
-    kept = [F.col(c) for c in docs.columns if c not in ours] if carry else []
-    sized = docs.select(*kept, F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"), F.col(id).alias("_id"))
-    if not carry:
-        # Sorting evaluates the rows twice, so what is computed from texts is written before.
-        sized = stored(sized, "sizes")
+    sized = docs.select(F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"), F.col(id).alias("_id"))
+    # Sorting evaluates the rows twice, so what is computed from texts is written before.
+    return _sampled(stored(sized, "sizes"), plan)
+
+
+def _sampled(sized: DataFrame, plan: Mixing) -> DataFrame:
+    """The rows of ``sized`` (``_source``, ``_size``, ``_id`` and more) with what ``copies`` adds."""
     targets = source_targets(sized.select("_source", "_size"), plan)
     placed = ranked(sized, ["_source"], [F.col("_size").desc(), F.col("_id").asc_nulls_last()], "_place")
     known = targets.withColumnRenamed("_source", "_target_source")
@@ -148,7 +147,17 @@ def _rates(rows: DataFrame, plan: Mixing) -> DataFrame:
     return known
 
 
-def mix(docs: DataFrame, plan: Mixing = Mixing()) -> DataFrame:
-    """The mixed rows, with the columns of ``docs``; a document taken n times appears n times."""
-    taken = copies(docs, plan).filter("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+def mix(docs: DataFrame, plan: Mixing = Mixing(), *, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """The mixed rows, with the columns of ``docs``; a document taken n times appears n times.
+
+    Rows are written once with a number each. Only numbers, ids and sizes are
+    ranked; the texts move once, to meet their copies, and are never sorted.
+    NULLs, repeats and empty tables as in ``copies``.
+    """
+    row, size, taken, copy = (fresh(docs, c) for c in ("_row", "_words", "_taken", "_copy"))
+    held = stored(docs.withColumns({row: F.monotonically_increasing_id(), size: word_count(F.col(text))}), "mixed-rows")
+    narrow = held.select(F.col(source).alias("_source"), F.col(size).alias("_size"), F.col(id).alias("_id"), F.col(row).alias("_row"))
+    wanted = _sampled(narrow, plan).filter("_copies > 0").select(F.col("_row").alias(taken), F.sequence(F.lit(1), F.col("_copies")).alias(copy))
+    # Row numbers are unique, so each task's share of the narrow side fits its memory.
+    met = held.join(wanted.hint("shuffle_hash"), F.col(row) == F.col(taken))
+    return met.select(*docs.columns, F.explode(copy).alias(copy)).select(*docs.columns)

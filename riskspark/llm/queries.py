@@ -32,7 +32,7 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taken = mixing.copies(table(spark, sf_dir, "documents"), carry=False)
+    taken = mixing.copies(table(spark, sf_dir, "documents"))
     return taken.select(
         F.col("_id").alias("doc_id"),
         F.col("_size").alias("size"),

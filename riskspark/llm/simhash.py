@@ -20,8 +20,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskspark.llm.common import give_back, hash_share, small_batches
+from riskspark.llm.common import fresh, give_back, hash_share, small_batches, split_by_ids
 from riskspark.sources.scratch import stored
 
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -281,6 +282,16 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _members(docs: DataFrame, rule: NearDuplicates, id: str, text: str) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (binary), ``component_id`` and ``root`` (a fingerprint of the component) of every row."""
+    rows = stored(fingerprints(docs, rule, id=id, text=text), "fingerprints")
+    classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
+    roots = components(links(classes.select("fingerprint"), rule))
+    grouped = classes.join(roots, classes.fingerprint == roots.node, "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+    least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(grouped.join(least, "root").select("fingerprint", "component_id", "root"), "fingerprint")
+
+
 def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates(), *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits a word), ``component_id`` of every row.
 
@@ -290,12 +301,48 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates(), *,
     row; in a group it counts only if no other id is there. An empty table gives
     an empty one. Other columns are ignored.
     """
-    rows = stored(fingerprints(docs, rule, id=id, text=text), "fingerprints")
-    classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes.select("fingerprint"), rule))
-    grouped = classes.join(roots, classes.fingerprint == roots.node, "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = grouped.join(least, "root").select("fingerprint", "component_id")
     hexed = F.lower(F.hex("fingerprint"))
     big_endian = F.concat(*[F.concat(*[F.substring(hexed, 16 * w + 2 * b + 1, 2) for b in range(7, -1, -1)]) for w in range(rule.width)])
-    return rows.join(member, "fingerprint").select("doc_id", big_endian.alias("fingerprint"), "component_id")
+    return _members(docs, rule, id, text).select("doc_id", big_endian.alias("fingerprint"), "component_id")
+
+
+def _sortable(kind: T.DataType) -> bool:
+    parts = kind.fields if isinstance(kind, T.StructType) else [kind.elementType] if isinstance(kind, T.ArrayType) else []
+    return not isinstance(kind, (T.MapType, T.VariantType)) and all(_sortable(getattr(p, "dataType", p)) for p in parts)
+
+
+def keep_one(docs: DataFrame, rule: NearDuplicates = NearDuplicates(), *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` without near duplicates: of each component one row of its smallest id stays.
+
+    Rows are known by id and fingerprint, so unlike texts of one id are decided
+    apart. If several rows of a component have its smallest id, the one of the
+    least fingerprint stays, and of those the least of all columns (maps not
+    compared). A row without an id stays only where no row of its component has
+    one, one a component. Repeated rows are duplicates. An empty table gives an
+    empty one. Only rows that may go, or have a NULL id, are moved.
+    """
+    rows = stored(_members(docs, rule, id, text).groupBy("doc_id", "fingerprint", "component_id", "root").agg(F.count(F.lit(1)).alias("rows")), "members")
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # Only rows of the smallest id can stay; where those are several, one is chosen.
+    several = rows.filter(own).groupBy("root").agg(F.min("fingerprint").alias("first"), F.sum("rows").alias("all")).filter("all > 1")
+    chosen = rows.filter(own).join(several, "root").select("doc_id", "fingerprint", (F.col("fingerprint") != F.col("first")).alias("goes"))
+    decided = rows.filter(~own).select("doc_id", "fingerprint", F.lit(True).alias("goes")).union(chosen)
+    decided = stored(decided.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_print"), F.col("goes").alias("_goes")), "decided")
+    mark, key = fresh(docs, "_mark"), fresh(docs, "_key")
+    untouched, asked = split_by_ids(docs.filter(F.col(id).isNotNull()), id, decided.filter(F.col("_id").isNotNull()).select("_id").distinct())
+    asked = asked.unionAll(docs.filter(F.col(id).isNull()))
+
+    @F.arrow_udf("binary")
+    def prints(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            yield pa.array([fingerprint(t.as_py(), rule.words, rule.width) for t in part], pa.binary())
+        give_back()
+
+    asked = asked.withColumns({mark: prints(F.col(text).cast("string")), key: F.col(id).cast("long")})
+    asked = asked.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.col(mark).alias("mark"))
+    here = F.col("key").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_print"))
+    cleared = asked.join(decided, here, "left_anti").select("row.*")
+    least = F.struct(*[F.col(f"row.`{f.name}`") for f in docs.schema if _sortable(f.dataType)])
+    repeated = asked.join(decided.filter(~F.col("_goes")), here, "left_semi")
+    repeated = repeated.groupBy("key", "mark").agg(F.min_by("row", least).alias("row")).select("row.*")
+    return untouched.unionAll(cleared).unionAll(repeated)
