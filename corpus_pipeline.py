@@ -9,14 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import kneser_ney, mixing, pieces, similar, toxicity
-from riskspark.llm.common import fresh, split_by_ids, table
+from riskspark.llm import kneser_ney, mixing, pieces, simhash, toxicity
+from riskspark.llm.common import fresh, table
 from riskspark.llm.queries import MODEL
 from riskspark.sources.scratch import job, stored
 
-#: Sets of five-word shingles of a Jaccard similarity of 4 / 5 or more are linked.
-NEAR = similar.Similar(words=5, num=4, den=5)
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 stay, empty ones too."""
@@ -33,28 +30,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one row of the smallest id stays.
-
-    A row is known by its id and its text's class: unlike texts of one id are
-    decided apart. Among rows equal in both, the least of all columns stays.
-    """
-    groups = stored(similar.near_copies(docs, NEAR).filter(F.col("doc_id").isNotNull()), "near-copies")
-    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("first"))
-    # Rows with a decision to make: copies, which go, and repeated ones, of which one stays.
-    # A row without an id cannot be told from others and stays.
-    found = groups.join(first, "component").groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(F.col("first") < F.struct("doc_id", "key")).alias("_copy")
-    )
-    found = stored(found.filter((F.col("_rows") > 1) | F.col("_copy")), "copied-rows")
-    # Only rows that may have such an id move.
-    untouched, asked = split_by_ids(docs, "doc_id", found.select("_id"))
-    mark = fresh(docs, "_class")
-    asked = similar.keyed(asked, mark, NEAR)
-    here = (F.col("doc_id") == F.col("_id")) & (F.col(mark) == F.col("_key"))
-    cleared = asked.join(found, here, "left_anti").select(*docs.columns)
-    repeated = asked.join(found.filter(~F.col("_copy")), here, "left_semi")
-    repeated = repeated.groupBy("doc_id", mark).agg(F.min(F.struct(*docs.columns)).alias("_least")).select("_least.*")
-    return untouched.unionByName(cleared).unionByName(repeated)
+    """Of each group of documents linked by their SimHash fingerprints one row of the smallest id stays."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
