@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from riskspark.llm import kneser_ney, language, mixing, pieces, queries, sharding, simhash, similar, toxicity
+from riskspark.llm import kneser_ney, language, mixing, pieces, queries, sharding, simhash, toxicity
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 given = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -142,78 +142,25 @@ def test_large_leaf_is_searched_in_blocks(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
-def test_near_copies_of_the_pipeline(spark, empty):
-    rng = np.random.default_rng(4)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    rows, copies = [], set()
-    for i in range(0, 400, 2):
-        words = list(rng.choice(vocabulary, 150))
-        rows.append((i, " ".join(words)))
-        for at in rng.choice(150, i % 3, replace=False):  # up to two changed words: at least 0.87 alike
-            words[at] = "changed"
-        rows.append((i + 1, " ".join(words)))
-        copies.add(i + 1)
-    rows += [(1000 + i, " ".join(rng.choice(vocabulary, 150))) for i in range(200)]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, empty).collect()}
-    assert {i for i, _ in rows} - copies <= kept
-    assert len(kept & copies) <= 2
-
-
-def plain_shingles(text, words=5):
-    parts = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
-    return {" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
-
-
-def test_every_pair_of_the_wanted_similarity_is_linked(spark):
-    """Far and near pairs around 0.8, against all pairs; one line is in many texts."""
-    rng = np.random.default_rng(8)
-    line = "one line that many of the texts have in common with each other"
-    texts = {}
-    for i in range(0, 600, 2):
-        words = [f"v{x}" for x in rng.integers(0, 5000, int(rng.integers(20, 200)))]
-        texts[i] = " ".join(words + line.split() * (i % 3))
-        for at in rng.choice(len(words), max(1, int(len(words) * rng.uniform(0, 0.04))), replace=False):
-            words[at] = "changed"
-        texts[i + 1] = " ".join(words + line.split() * (i % 3))
-    texts |= {600: line, 601: f"{line} {line}", 602: "", 603: None, 604: "Two  Words", 605: "two words", 606: f"{line} {line} {line}"}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    sets = {k: plain_shingles(t) for k, t in texts.items()}
-    want = {k: k for k in texts}
-    for a, b in itertools.combinations(texts, 2):
-        both = len(sets[a] & sets[b])
-        if (9 * both >= 4 * (len(sets[a]) + len(sets[b])) if both else sets[a] == sets[b]) and want[a] != want[b]:
-            old, new = max(want[a], want[b]), min(want[a], want[b])
-            want = {k: new if v == old else v for k, v in want.items()}
-    found = defaultdict(set)
-    for r in similar.near_copies(docs).collect():
-        found[r["component"]].add(r["doc_id"])
-    assert {k: min(g) for g in found.values() for k in g} == want
-
-
-def test_texts_below_the_wanted_similarity_stay(spark, empty):
-    rng = np.random.default_rng(6)
-    rows = []
-    for i in range(0, 400, 2):
-        words = [f"u{i}x{j}" for j in range(184)]  # 180 shingles
-        rows.append((i, " ".join(words)))
-        for at in range(5, 5 * int(rng.integers(5, 7)), 5):  # each takes 5 shingles: 4 or 5 give 0.8 or 0.756
-            words[at] = "changed"
-        rows.append((i + 1, " ".join(words)))
-    same = lambda a, b: len(plain_shingles(a) & plain_shingles(b)) / len(plain_shingles(a) | plain_shingles(b))
-    copies = {b[0] for a, b in zip(rows[::2], rows[1::2]) if same(a[1], b[1]) >= 0.8}
-    assert 20 < len(copies) < 180
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, empty).collect()}
-    assert kept == {i for i, _ in rows} - copies
-
-
-def test_repeated_ids_are_decided_by_their_texts(spark, empty):
+def test_one_row_of_each_group_stays(spark, empty):
+    """Exact copies, links of two bits, repeated and missing ids, against brute force."""
     text = lambda name: " ".join(f"{name}{i}" for i in range(60))
-    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (3, text("c")), (3, text("d")), (4, text("e")), (4, text("e").upper()), (4, text("e"))]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(5), empty).collect())
-    assert kept == sorted([(1, text("a")), (2, text("b")), (3, text("c")), (3, text("d")), (4, text("e").upper())])
+    rows = [(i, t) for i, t in near_texts().items()]
+    rows += [(5001, text("a")), (5002, text("a")), (5002, text("b")), (5003, text("c")), (5003, text("d")), (5004, text("e")), (5004, text("e").upper()), (5004, text("e"))]
+    rows += [(None, text("a")), (None, text("f")), (None, text("f")), (None, text("f").upper()), (None, text("g"))]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    group = plain_components(dict(enumerate(prints)), lambda a, b: bin(a ^ b).count("1") <= 2)
+    best = {}
+    for i, (doc, t) in enumerate(rows):
+        # The order of fingerprints is that of their little-endian bytes.
+        key = (doc is None, doc or 0, prints[i].to_bytes(8, "little"), t or "")
+        best[group[i]] = min(best.get(group[i], key), key)
+    want = sorted((k[0], k[1], k[3]) for k in best.values())
+    shape = "doc_id long, text string, lang string, _id string, _key int, _mark int, row string, _print map<string,int>"
+    docs = spark.createDataFrame([(i, t, "en", "x", 1, 2, "y", {"m": 1}) for i, t in rows], shape).repartition(5)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, empty)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == want
 
 
 # -- mixing -------------------------------------------------------------------
@@ -239,6 +186,27 @@ def test_targets_stop_at_three_times_the_source(spark):
     assert got == {"a": 286.0, "b": 3.0, "c": 30.0, "d": 286.0, None: 9.0}
 
 
+def test_mixed_rows_are_the_copies(spark):
+    """Columns named like the operator's own, repeated rows, missing values."""
+    rows = [(i % 37 if i % 11 else None, "w " * (i % 29), [None, "a", "b"][i % 3 if i < 200 else 1], 7) for i in range(300)]
+    names = ("_row", "_words", "_taken", "_copy", "_place", "_part", "_target", "_offset", "_level", "_rows", "_size", "_source", "_id", "_copies", "_rate", "_by_0", "_at", "_whole")
+    docs = spark.createDataFrame([(*r, *[1] * len(names)) for r in rows], ["doc_id", "text", "source", "n_chars", *names]).repartition(4)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in mixed.collect())
+    assert set(got) <= {r[:3] for r in rows}
+    want = Counter()
+    for r in mixing.copies(docs.select("doc_id", "text", "source")).collect():
+        want[r["_id"], r["_size"], r["_source_size"]] += r["_copies"]
+    sizes = Counter()
+    for _, t, s, _ in rows:
+        sizes[s] += len(t.split())
+    found = Counter()
+    for (i, t, s), n in got.items():
+        found[i, len(t.split()), sizes[s]] += n
+    assert found == +want
+
+
 # -- sharding -----------------------------------------------------------------
 
 
