@@ -9,12 +9,7 @@ from functools import reduce
 
 import pyspark
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +42,7 @@ from riskspark.operators.split import (
     temporal_cuts,
     with_split,
 )
+from riskspark.plans.boosting import Boosting, LeafwiseBoosting, LeafwiseModel
 from riskspark.sources.artifacts import LoadedModel, load_model, save_model, utc_now
 from riskspark.sources.scratch import job, stored, use_checkpoints
 
@@ -119,11 +115,10 @@ def forest_pipeline(contract: Contract = DEFAULT_CONTRACT, *, trees: int = 300)
 
 
 def boosting_pipeline(contract: Contract = DEFAULT_CONTRACT, *, rounds: int = 200) -> Pipeline:
-    classifier = GBTClassifier(
-        featuresCol=FEATURES, labelCol=contract.target, weightCol=WEIGHT, stepSize=0.05,
-        maxIter=rounds, maxDepth=4, minInstancesPerNode=20, maxBins=255, seed=SEED, checkpointInterval=10,
+    classifier = LeafwiseBoosting(
+        contract.numeric, contract.categorical, contract.target, WEIGHT, ORDER, Boosting(rounds=rounds)
     )
-    return Pipeline(stages=[*_encoding(contract, contract.numeric), classifier])
+    return Pipeline(stages=[classifier])
 
 
 def model_pipelines(
@@ -262,6 +257,9 @@ def _read_scaling(pipeline: PipelineModel, contract: Contract) -> dict[str, tupl
 
 
 def _levels(pipeline: PipelineModel, contract: Contract) -> list[tuple[str, str]]:
+    if isinstance(pipeline.stages[-1], LeafwiseModel):
+        layout = pipeline.stages[-1].layout
+        return [(c, level) for c, levels in zip(layout.categorical, layout.levels, strict=True) for level in levels]
     indexer = next(s for s in pipeline.stages if isinstance(s, StringIndexerModel))
     return [
         (feature, level)
