@@ -135,6 +135,9 @@ oracle(
     TXN,
 )
 
+# Whichever of the writers comes first, the ids of both parts are stored once and refused once.
+ORACLES["store_two_writers"] = ORACLES["store_stream"] = ORACLES["store_append_twice"]
+
 _missing = " + ".join(
     f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in DOUBLES else ''})" for c in REQUIRED
 )
@@ -414,6 +417,7 @@ _velocity = (
     + " round(avg(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW), 8) + 0.0 AS avg_amount_last_30d FROM events"
 )
 oracle("velocity_features", _velocity)
+oracle("velocity_stream", _velocity)
 _spoiled = (
     "(SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN 0 WHEN user_id % 3 = 1 THEN user_id END AS user_id,"
     " CASE WHEN event_id % 211 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 199 = 0 THEN NULL WHEN event_id % 197 = 0 THEN 1e17::DOUBLE"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +15,10 @@ from riskspark.contract import DEFAULT_CONTRACT
 from riskspark.operators import encode, explain, investigate, metrics, monitor, profile, split, validate, velocity
 from riskspark.operators.ordering import quantiles
 from riskspark.plans import training
-from riskspark.sources import artifacts, tables, testdata
+from riskspark.sources import artifacts, store, tables, testdata
 from riskspark.sources.scratch import scratch_path, stored
 from riskspark.sources.testdata import transactions
-from riskspark.streaming import jobs
+from riskspark.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,12 +158,39 @@ def store_append_twice(spark, folder):
     """Two overlapping batches into one store: the second time, known ids are refused."""
     data = transactions(spark, folder)
     path = scratch_path(spark, "store")
-    refused = [tables.append_to_store(batch, path) for batch in (data.filter("k < 60"), data.filter("k >= 40"))]
-    kept = spark.read.parquet(path).select("external_id", F.lit(1).cast("long").alias("copies"), F.lit("stored").alias("outcome"))
+    refused = [store.append_to_store(batch, path) for batch in (data.filter("k < 60"), data.filter("k >= 40"))]
+    return _outcomes(spark, path, refused)
+
+
+def _outcomes(spark: SparkSession, path: str, refused: list[DataFrame]) -> DataFrame:
+    kept = store.read_store(spark, path).select("external_id", F.lit(1).cast("long").alias("copies"), F.lit("stored").alias("outcome"))
     parts = [r.select("external_id", "copies", F.col("reason").alias("outcome")) for r in refused]
     return reduce(DataFrame.unionByName, parts, kept)
 
 
+@query
+def store_two_writers(spark, folder):
+    """Two overlapping batches written into one store at the same time."""
+    data = transactions(spark, folder)
+    path = scratch_path(spark, "store")
+    batches = [data.filter("k < 60"), data.filter("k >= 40")]
+    with ThreadPoolExecutor(2) as writers:
+        refused = list(writers.map(lambda batch: store.append_to_store(batch, path), batches))
+    return _outcomes(spark, path, refused)
+
+
+@query
+def store_stream(spark, folder):
+    """Two overlapping parts as a stream into one store; then the last micro-batch once more, which adds nothing."""
+    data = transactions(spark, folder)
+    source, path, left, progress = (scratch_path(spark, n) for n in ("incoming", "store", "refused", "progress"))
+    for part in (data.filter("k < 60"), data.filter("k >= 40")):
+        part.write.mode("append").parquet(source)
+        jobs.store_stream(spark.readStream.schema(data.schema).parquet(source), path, left, progress).awaitTermination()
+    again = store.append_to_store(data.filter("k >= 40"), path, token=f"{progress}#1")
+    return _outcomes(spark, path, [spark.read.parquet(left).drop("batch"), again])
+
+
 _models: dict[tuple[str, str], training.BuiltModel] = {}
 
 
@@ -950,6 +978,26 @@ def monitor_stream(spark, folder):
     return rounded(flat_sections(spark.read.schema("section string, json string, batch int").parquet(output)))
 
 
+@query
+def velocity_stream(spark, folder):
+    """Look-back columns of three parts that arrive one after another, from state kept between the runs."""
+    data = _customer_events(spark, folder)
+    cuts = split.temporal_cuts(data.withColumn("is_fraud", F.lit(0)))
+    source, output, progress = (scratch_path(spark, n) for n in ("arriving", "velocity", "progress"))
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, state.PROVIDER)
+    try:
+        for part in (split.TRAIN, split.VALIDATION, split.TEST):
+            split.split_part(data, cuts, part).write.mode("append").parquet(source)
+            arriving = state.velocity_stream(spark.readStream.schema(data.schema).parquet(source))
+            writer = arriving.writeStream.format("parquet").option("path", output).option("checkpointLocation", progress)
+            writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
+    return rounded(spark.read.parquet(output).select("external_id", "transactions_last_24h", "avg_amount_last_30d"))
+
+
 def flat_sections(lines: DataFrame) -> DataFrame:
     """Report lines as rows ``(batch, section, feature, value, level)``."""
     field = lambda name: F.get_json_object("json", f"$.{name}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,43 +118,6 @@ def admit(batch: DataFrame, existing: DataFrame | None = None) -> tuple[DataFram
     return accepted, refused
 
 
-def _stored_ids(spark: SparkSession, path: str) -> DataFrame | None:
-    """Ids of the store at ``path``; None if there is no store yet."""
-    try:
-        return spark.read.parquet(path).select("external_id")
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def append_to_store(batch: DataFrame, path: str) -> DataFrame:
-    """Append the accepted rows by day, with id and creation time; return the refused rows.
-
-    Ids that the store at ``path`` holds are refused. One writer at a time: two
-    that run at once do not see each other's rows.
-    """
-    accepted, refused = admit(batch, _stored_ids(batch.sparkSession, path))
-    (
-        accepted.withColumn("id", F.uuid())
-        .withColumn("created_at", F.current_timestamp())
-        .withColumn("occurred_on", F.to_date("occurred_at"))
-        .write.mode("append")
-        .partitionBy("occurred_on")
-        .parquet(path)
-    )
-    return refused
-
-
-def stored_between(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Stored rows of a period; the day partitions outside it are not read."""
-    time = F.col("occurred_at")
-    days = F.col("occurred_on").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    rows = spark.read.parquet(path)
-    kind = rows.schema["occurred_at"].dataType
-    return rows.filter(days & (time >= F.lit(start).cast(kind)) & (time <= F.lit(end).cast(kind)))
-
-
 def write_report(sections: DataFrame, path: str, *, overwrite: bool = False) -> str:
     """Write report rows as JSON lines."""
     sections.write.mode("overwrite" if overwrite else "errorifexists").json(path)

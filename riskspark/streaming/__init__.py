@@ -1,5 +1,6 @@
 """Streaming jobs over files of transactions."""
 
-from riskspark.streaming.jobs import investigate_stream, monitor_stream, score_stream
+from riskspark.streaming.jobs import investigate_stream, monitor_stream, score_stream, store_stream
+from riskspark.streaming.state import velocity_stream
 
-__all__ = ["investigate_stream", "monitor_stream", "score_stream"]
+__all__ = ["investigate_stream", "monitor_stream", "score_stream", "store_stream", "velocity_stream"]

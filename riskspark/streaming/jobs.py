@@ -19,6 +19,7 @@ from riskspark.operators.investigate import COMPLETED, FAILED, investigate
 from riskspark.operators.monitor import ReferenceProfile, data_quality, monitoring_report, reference_profile
 from riskspark.operators.validate import require_features, with_violations
 from riskspark.sources.scratch import job, stored
+from riskspark.sources.store import append_to_store
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -74,6 +75,38 @@ def score_stream(
     )
 
 
+def store_stream(
+    transactions: DataFrame,
+    store: str,
+    refused: str,
+    checkpoint: str,
+    *,
+    horizon: str | None = None,
+    contract: Contract = DEFAULT_CONTRACT,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Append a stream to the store; each id is stored once over all micro-batches and writers.
+
+    Refused rows go to ``refused`` in a folder per micro-batch. A micro-batch
+    that is replayed after a failure finds its token in the store's log and adds
+    nothing. With a ``horizon`` (such as ``2 days``), copies of an id whose times
+    lie within it are kept off the store by keyed state that a watermark clears;
+    they are counted by the query's progress and not listed as refused.
+    """
+    if horizon:
+        transactions = transactions.withWatermark(contract.time, horizon).dropDuplicatesWithinWatermark([contract.id])
+
+    def write(batch: DataFrame, number: int) -> None:
+        with job(batch.sparkSession):
+            rows = stored(batch, "micro-batch")
+            left = append_to_store(rows, store, token=f"{checkpoint}#{number}")
+            if not left.isEmpty():
+                left.write.mode("overwrite").parquet(f"{refused}/batch={number}")
+
+    writer = transactions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
+
+
 def investigate_stream(
     requests: DataFrame,
     model: LinearModel,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskspark import ContractError
 from riskspark.operators import profile, validate
-from riskspark.sources import tables
+from riskspark.sources import store, tables
 from tests.samples import transactions
 
 
@@ -140,17 +140,17 @@ def test_csv_export_checks_and_refuses_to_overwrite(spark, tmp_path):
 def test_store_refuses_duplicates_and_stored_ids(spark, tmp_path):
     path = str(tmp_path / "store")
     first = transactions(spark, 10)
-    assert tables.append_to_store(first, path).count() == 0
+    assert store.append_to_store(first, path).count() == 0
     again = transactions(spark, 12).union(first.limit(1))
     again = again.withColumn("external_id", F.nullif("external_id", F.lit("txn_000011")))
     batch = again.union(transactions(spark, 13).filter("external_id = 'txn_000010'"))
-    refused = tables.append_to_store(batch, path)
+    refused = store.append_to_store(batch, path)
     by_reason = {r["reason"]: r["n"] for r in refused.groupBy("reason").agg(F.sum("copies").alias("n")).collect()}
     assert by_reason == {"already_stored": 11, "duplicate_id": 1, "invalid_value": 1}
-    stored = spark.read.parquet(path)
+    stored = store.read_store(spark, path)
     assert stored.count() == 11 and stored.select("id").distinct().count() == 11
     assert stored.schema["amount"].dataType.simpleString() == "decimal(18,2)"
     assert "is_fraud" not in stored.columns
-    day = tables.stored_between(spark, path, "2025-01-01 02:00:00", "2025-01-01 04:00:00")
+    day = store.stored_between(spark, path, "2025-01-01 02:00:00", "2025-01-01 04:00:00")
     assert sorted(r["external_id"] for r in day.collect()) == ["txn_000002", "txn_000003", "txn_000004"]
     assert "PartitionFilters: [isnotnull(occurred_on" in day._jdf.queryExecution().toString()
