@@ -162,5 +162,6 @@ def velocity_stream(
         T.StructField("average", T.DoubleType()), T.StructField("no_average", T.BooleanType()),
     ])
     answered = prepared.groupBy("customer").transformWithStateInPandas(LookBack(carried), out, "Append", "EventTime")
-    average = F.when(~F.col("no_average"), F.col("average")).alias("avg_amount_last_30d")
+    # pandas hands NaN over as NULL.
+    average = F.when(~F.col("no_average"), F.coalesce("average", F.lit(float("nan")))).alias("avg_amount_last_30d")
     return answered.select(*[F.col(c).alias(name) for c, name in zip(carried, rows.columns)], F.col("activity").alias("transactions_last_24h"), average)
