@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.contract import DEFAULT_CONTRACT, Contract, nan_to_null, present
-from riskspark.functions import ratio, to_rows
+from riskspark.functions import is_finite, ratio, to_rows
 from riskspark.operators.ordering import (
     at_or_before,
     order_statistics,
@@ -205,24 +204,41 @@ def iqr_outliers(
 def correlations(
     df: DataFrame, columns: Sequence[str] | None = None, *, contract: Contract = DEFAULT_CONTRACT
 ) -> DataFrame:
-    """Pearson matrix as rows ``(left, right, r)``, pairwise complete, from one pass.
+    """Pearson matrix as rows ``(left, right, r)``, pairwise complete.
 
-    NULL where a column does not vary; ``corr`` would raise there in ANSI mode.
+    Moments are summed once per pattern of missing columns and folded into the
+    pairs that are complete in it. Values are taken from a middle value of their
+    column, so that sums of squares lose no digits. NULL where a column does not
+    vary.
     """
     columns = list(columns or (*contract.numeric, contract.target))
     clean = nan_to_null(df.select(*columns))
     data = clean.select(*[F.col(c).cast("double").alias(c) for c in columns])
-
-    pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
-
-    def coefficient(a: str, b: str) -> Column:
-        x, y = (F.when(F.col(other).isNotNull(), F.col(own)) for own, other in ((a, b), (b, a)))
-        return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    wide = data.agg(*[coefficient(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [(F.lit(a), F.lit(b), F.col(f"_r{i}")) for i, (a, b) in enumerate(pairs)]
-    mirrored = [(b, a, value) for a, b, value in rows[: len(rows) - len(columns)]]
-    return to_rows(wide, [*rows, *mirrored], ["left", "right", "r"])
+    middle = data.agg(*[F.percentile_approx(F.when(is_finite(F.col(c)), F.col(c)), 0.5, 100).alias(c) for c in columns]).first()
+    here = [F.col(c).isNotNull() for c in columns]
+    moved = [F.coalesce(F.col(c) - F.lit(middle[c] or 0.0), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(columns)]
+    pattern = F.concat(*[h.cast("int").cast("string") for h in here]).alias("pattern")
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    sums = data.select(pattern, *moved).groupBy("pattern").agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.sum(f"x{i}").alias(f"s{i}") for i in range(len(columns))],
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i, j in pairs],
+    )
+    # An empty table has its pairs too.
+    nothing = df.sparkSession.range(1).select(F.lit("0" * len(columns)).alias("pattern"), *[F.lit(0.0).alias(c) for c in sums.columns[1:]])
+    sums = sums.union(nothing)
+    sides = {(i, j): (F.lit(a), F.lit(b), *[F.col(x) for x in ("n", f"s{i}", f"s{j}", f"s{i}_{i}", f"s{j}_{j}", f"s{i}_{j}")])
+             for (i, j), (a, b) in zip(pairs, [(columns[i], columns[j]) for i, j in pairs])}
+    entries = [((F.substring("pattern", i + 1, 1) == "1") & (F.substring("pattern", j + 1, 1) == "1"), *row) for (i, j), row in sides.items()]
+    long = to_rows(sums, entries, ["whole", "left", "right", "n", "x", "y", "xx", "yy", "xy"])
+    # A pair without a complete row stays, with sums of 0.
+    total = lambda c: F.sum(F.when(F.col("whole"), F.col(c)).otherwise(0.0))
+    folded = long.groupBy("left", "right").agg(*[total(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread = lambda square, one: F.col("n") * F.col(square) - F.col(one) * F.col(one)
+    root = lambda square, one: F.sqrt(F.greatest(spread(square, one), F.lit(0.0)))
+    r = ratio(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), root("xx", "x") * root("yy", "y"))
+    upper = folded.select("left", "right", r.alias("r"))
+    return upper.union(upper.filter("left <> right").select("right", "left", "r"))
 
 
 def correlation_of(matrix: DataFrame, left: str, right: str) -> DataFrame:

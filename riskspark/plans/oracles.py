@@ -833,6 +833,19 @@ oracle(
     TXN,
     PARTED,
 )
+# Balanced weights make the first score 0; slopes are rounded to the fixed point of the fit.
+_categories = ("currency", "merchant_category", "country", "transaction_type", "channel", "is_international")
+oracle(
+    "boosting_first_gains",
+    "SELECT feature, level, count(*) AS rows, round((sum(g) / sum(h) * sum(g) + CASE WHEN count(*) < any_value(n) THEN (any_value(all_g) - sum(g)) / (any_value(all_h) - sum(h)) * (any_value(all_g) - sum(g)) END"
+    " - any_value(all_g) / any_value(all_h) * any_value(all_g)) / 16777216, 6) AS gain FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, g, h, n, all_g, all_h FROM slopes" for c in _categories)
+    + ") GROUP BY feature, level",
+    TXN,
+    PARTED,
+    "weighed AS (SELECT * EXCLUDE (n), count(*) OVER () AS n, CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY is_fraud)) AS w FROM parted WHERE split = 'train')",
+    "slopes AS (SELECT *, sum(g) OVER () AS all_g, sum(h) OVER () AS all_h FROM (SELECT *, round_even(w * (0.5 - is_fraud) * 16777216, 0) AS g, round_even(w * 0.25 * 16777216, 0) AS h FROM weighed))",
+)
 oracle("logistic_gradient", "SELECT true AS at_optimum")
 
 # A sound explanation rebuilds every row, and a reloaded model scores every row alike.

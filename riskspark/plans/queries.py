@@ -14,7 +14,7 @@ from riskspark import functions
 from riskspark.contract import DEFAULT_CONTRACT
 from riskspark.operators import encode, explain, investigate, metrics, monitor, profile, split, validate, velocity
 from riskspark.operators.ordering import quantiles
-from riskspark.plans import training
+from riskspark.plans import boosting, training
 from riskspark.sources import artifacts, store, tables, testdata
 from riskspark.sources.scratch import scratch_path, stored
 from riskspark.sources.testdata import transactions
@@ -669,6 +669,14 @@ def gbt_scores(spark, folder):
     return fitted(spark, folder, training.BOOSTING)[1]
 
 
+@query
+def boosting_first_gains(spark, folder):
+    """Gains of the first tree's root by category level, from the histograms of the training rows."""
+    train = training.training_rows(training.prepared_split(transactions(spark, folder)))
+    (estimator,) = training.boosting_pipeline().getStages()
+    return boosting.first_gains(train, estimator).withColumn("gain", F.round("gain", 6))
+
+
 @query
 def fit_checks(spark, folder):
     """Rows, classes and scores in [0, 1] of every fitted model and part."""

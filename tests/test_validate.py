@@ -1,5 +1,7 @@
+import itertools
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +108,22 @@ def test_constant_column_has_no_correlation(spark):
     assert matrix["hour", "hour"] == pytest.approx(1.0) and len(matrix) == 64
 
 
+def test_correlations_take_the_rows_complete_in_a_pair(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 4)) * [1, 1e6, 1e-3, 2] + [0, 1e9, 5, -3]
+    x[:, 3] += x[:, 0]
+    gone = rng.random(size=x.shape) < [0.0, 0.2, 0.5, 0.3]
+    rows = [tuple(None if g and i % 2 else float("nan") if g else float(v) for v, g in zip(r, gs)) for i, (r, gs) in enumerate(zip(x, gone))]
+    df = spark.createDataFrame([(*r, None if i else 1.0) for i, r in enumerate(rows)], "a double, b double, c double, d double, e double")
+    got = {(r["left"], r["right"]): r["r"] for r in profile.correlations(df, list("abcde")).collect()}
+    for i, j in itertools.product(range(4), repeat=2):
+        both = ~gone[:, i] & ~gone[:, j]
+        assert got["abcde"[i], "abcde"[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert got["a", "e"] is None and len(got) == 25
+    empty = profile.correlations(df.limit(0), ["a", "b"]).collect()
+    assert len(empty) == 4 and all(r["r"] is None for r in empty)
+
+
 def test_planted_separation_is_found(spark):
     df = transactions(spark).withColumn("amount", F.when(F.col("is_fraud") == 1, 9.0).otherwise(1.0))
     audit = profile.leakage_audit(df.withColumn("channel", F.when(F.col("is_fraud") == 1, "x").otherwise("y")))
