@@ -226,19 +226,25 @@ def correlations(
     )
     # An empty table has its pairs too.
     nothing = df.sparkSession.range(1).select(F.lit("0" * len(columns)).alias("pattern"), *[F.lit(0.0).alias(c) for c in sums.columns[1:]])
-    sums = sums.union(nothing)
-    sides = {(i, j): (F.lit(a), F.lit(b), *[F.col(x) for x in ("n", f"s{i}", f"s{j}", f"s{i}_{i}", f"s{j}_{j}", f"s{i}_{j}")])
-             for (i, j), (a, b) in zip(pairs, [(columns[i], columns[j]) for i, j in pairs])}
-    entries = [((F.substring("pattern", i + 1, 1) == "1") & (F.substring("pattern", j + 1, 1) == "1"), *row) for (i, j), row in sides.items()]
-    long = to_rows(sums, entries, ["whole", "left", "right", "n", "x", "y", "xx", "yy", "xy"])
-    # A pair without a complete row stays, with sums of 0.
-    total = lambda c: F.sum(F.when(F.col("whole"), F.col(c)).otherwise(0.0))
-    folded = long.groupBy("left", "right").agg(*[total(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    squares = F.array(*[f"s{i}_{j}" for i, j in pairs])
+    cells = sums.union(nothing).select("pattern", "n", F.array(*[f"s{i}" for i in range(len(columns))]).alias("ones"), squares.alias("squares"))
+    long = cells.select("*", F.posexplode("squares").alias("pair", "xy"))
+    at = lambda values, place: F.get(F.lit(list(values)), place)
+    i, j = (at((p[side] for p in pairs), F.col("pair")) for side in (0, 1))
+    diagonal = [pairs.index((k, k)) for k in range(len(columns))]
+    own = {
+        "n": F.col("n"), "x": F.get("ones", i), "y": F.get("ones", j), "xy": F.col("xy"),
+        "xx": F.get("squares", at(diagonal, i)), "yy": F.get("squares", at(diagonal, j)),
+    }
+    # A pattern counts for the pairs that are complete in it; a pair without any stays, with sums of 0.
+    complete = (F.col("pattern").substr(i + 1, F.lit(1)) == "1") & (F.col("pattern").substr(j + 1, F.lit(1)) == "1")
+    folded = long.groupBy("pair").agg(*[F.sum(F.when(complete, c).otherwise(0.0)).alias(name) for name, c in own.items()])
     spread = lambda square, one: F.col("n") * F.col(square) - F.col(one) * F.col(one)
     root = lambda square, one: F.sqrt(F.greatest(spread(square, one), F.lit(0.0)))
     r = ratio(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), root("xx", "x") * root("yy", "y"))
-    upper = folded.select("left", "right", r.alias("r"))
-    return upper.union(upper.filter("left <> right").select("right", "left", "r"))
+    left, right = at(columns, i), at(columns, j)
+    sides = F.when(left == right, F.array(F.struct(left, right))).otherwise(F.array(F.struct(left, right), F.struct(right, left)))
+    return folded.select(F.explode(sides).alias("side"), r.alias("r")).select(F.col("side.col1").alias("left"), F.col("side.col2").alias("right"), "r")
 
 
 def correlation_of(matrix: DataFrame, left: str, right: str) -> DataFrame:
