@@ -46,12 +46,8 @@ def _bad_label(df: DataFrame, target: str) -> Column:
     return F.lit(True)
 
 
-def contract_rules(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
-    """Rows ``(rule, ordinal, violations, passed)`` for every rule.
-
-    The value rules are one aggregate over the table; only the id rule needs a
-    shuffle, of the id column. A rule whose column is absent has NULL results.
-    """
+def value_rules(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> list[Column]:
+    """Violations of the rules that one aggregate over the rows can count, named by rule."""
     columns = set(df.columns)
     required = [c for c in contract.required if c in columns]
 
@@ -65,7 +61,7 @@ def contract_rules(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> Data
 
     missing = sum((F.count_if(present(df, c).isNull()) for c in required), F.lit(0).cast("long"))
     label = F.col(contract.target).try_cast("int") if contract.target in columns else F.lit(None)
-    facts = df.agg(
+    return [
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("long").alias("not_empty"),
         missing.alias("no_missing_values"),
         # A missing amount is a missing value, not a non-positive one.
@@ -83,12 +79,27 @@ def contract_rules(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> Data
             if contract.target in columns
             else F.lit(None).cast("long")
         ).alias("both_classes"),
-    )
-    duplicates = (
-        duplicate_ids(df, [contract.id]).select("duplicates").scalar()
-        if contract.id in columns
-        else F.lit(None).cast("long")
-    )
+    ]
+
+
+def id_copies(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> Column:
+    """Surplus rows of repeated ids; NULL without the id column."""
+    if contract.id not in df.columns:
+        return F.lit(None).cast("long")
+    return duplicate_ids(df, [contract.id]).select("duplicates").scalar()
+
+
+def contract_rules(df: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+    """Rows ``(rule, ordinal, violations, passed)`` for every rule.
+
+    The value rules are one aggregate over the table; only the id rule needs a
+    shuffle, of the id column. A rule whose column is absent has NULL results.
+    """
+    return rule_rows(df.agg(*value_rules(df, contract)), df, id_copies(df, contract), contract)
+
+
+def rule_rows(facts: DataFrame, df: DataFrame, duplicates: Column, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:
+    """The rows of ``contract_rules`` from the one row of ``value_rules``."""
     schema_facts = {
         "required_columns": F.lit(len(missing_columns(df, contract.required))).cast("long"),
         "no_leakage_columns": F.lit(len(leakage_columns(df, contract))).cast("long"),

@@ -14,7 +14,7 @@ from riskspark import functions
 from riskspark.contract import DEFAULT_CONTRACT
 from riskspark.operators import encode, explain, investigate, metrics, monitor, profile, split, validate, velocity
 from riskspark.operators.ordering import quantiles
-from riskspark.plans import boosting, training
+from riskspark.plans import boosting, gate, training
 from riskspark.sources import artifacts, store, tables, testdata
 from riskspark.sources.scratch import scratch_path, stored
 from riskspark.sources.testdata import transactions
@@ -838,6 +838,30 @@ def data_quality(spark, folder):
     return rounded(monitor.data_quality(dirty(transactions(spark, folder))))
 
 
+def _checked(spark, folder) -> gate.CheckedScores:
+    """The spoiled table scored and checked in one reading; every row is let through."""
+    rows = dirty(transactions(spark, folder))
+    return gate.score_checked(rows, lambda df: jobs.score_valid(df, jobs.linear_scorer(FIXED_MODEL)), scratch_path(spark, "checked"), gate=lambda *_: None)
+
+
+@query
+def checked_rules(spark, folder):
+    """The contract rules, counted while the rows were scored and written."""
+    return _checked(spark, folder).rules
+
+
+@query
+def checked_quality(spark, folder):
+    """The quality row, counted while the rows were scored and written."""
+    return rounded(_checked(spark, folder).quality)
+
+
+@query
+def checked_scores(spark, folder):
+    """The rows that were scored, checked and published in one pass."""
+    return rounded(_checked(spark, folder).scored.select("external_id", "probability", "prediction", "status"))
+
+
 @query
 def psi_edges(spark, folder):
     reference, _ = reference_and_current(spark, folder)
