@@ -1141,3 +1141,35 @@ oracle(
 ORACLES["checked_rules"] = ORACLES["contract_rules"]
 ORACLES["checked_quality"] = ORACLES["data_quality"]
 ORACLES["checked_scores"] = ORACLES["score_stream"]
+
+# -- categories of many levels --------------------------------------------------------------
+
+_many = ("device_id", "customer_id", "country")
+_long = " UNION ALL ".join(f"SELECT {{more}}{i} AS feature_place, {c} AS level FROM {{source}}" for i, c in enumerate(_many))
+
+
+def _levels_of(source: str) -> str:
+    return (
+        f"dictionary AS (SELECT CAST(feature_place AS INTEGER) AS feature_place, level, row_number() OVER (ORDER BY feature_place, level) - 1 AS position,"
+        f" row_number() OVER (PARTITION BY feature_place ORDER BY level) - 1 AS index FROM (SELECT DISTINCT * FROM ({_long.format(more='', source=source)})))"
+    )
+
+
+_met = f"met AS (SELECT * FROM ({_long.format(more='external_id, amount, ', source='cur')}) LEFT JOIN dictionary USING (feature_place, level))"
+oracle("level_dictionary", "SELECT * FROM dictionary", TXN, _levels_of("txn"))
+oracle(
+    "level_positions",
+    "SELECT external_id, coalesce(string_agg(CAST(position AS VARCHAR), ',' ORDER BY position), '') AS positions FROM met GROUP BY external_id",
+    *SIDES,
+    _levels_of("ref"),
+    _met,
+)
+_effect = ", ".join(f"coalesce(max(position % 97) FILTER (feature_place = {i}), 0) / 100.0::DOUBLE AS {c}" for i, c in enumerate(_many))
+oracle(
+    "level_contributions",
+    f"SELECT external_id, {r8('amount', 'amount')}, {', '.join(r8(c, c) for c in _many)}, {r8('amount + device_id + customer_id + country - 0.5', 'logit')}"
+    f" FROM (SELECT external_id, (any_value(amount) - 50) / 40 * 0.8 AS amount, {_effect} FROM met GROUP BY external_id)",
+    *SIDES,
+    _levels_of("ref"),
+    _met,
+)

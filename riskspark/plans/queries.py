@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from riskspark import functions
 from riskspark.contract import DEFAULT_CONTRACT
-from riskspark.operators import encode, explain, investigate, metrics, monitor, profile, split, validate, velocity
+from riskspark.operators import encode, explain, investigate, levels, metrics, monitor, profile, split, validate, velocity
 from riskspark.operators.ordering import quantiles
 from riskspark.plans import boosting, gate, training
 from riskspark.sources import artifacts, store, tables, testdata
@@ -669,6 +669,35 @@ def gbt_scores(spark, folder):
     return fitted(spark, folder, training.BOOSTING)[1]
 
 
+# Categories of many levels, and coefficients that SQL can repeat.
+MANY_LEVELS = ("device_id", "customer_id", "country")
+
+
+@query
+def level_dictionary(spark, folder):
+    """Levels of columns with many values, numbered by a distributed sort."""
+    return levels.level_dictionary(transactions(spark, folder), MANY_LEVELS)
+
+
+@query
+def level_positions(spark, folder):
+    """Validation rows encoded with the levels of the training rows; unknown levels have no position."""
+    reference, current = reference_and_current(spark, folder)
+    found = levels.encoded(current.select("external_id", *MANY_LEVELS), levels.level_dictionary(reference, MANY_LEVELS), MANY_LEVELS)
+    return found.select("external_id", F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
+
+
+@query
+def level_contributions(spark, folder):
+    """Log-odds of validation rows by joins with a table of coefficients, one per level."""
+    reference, current = reference_and_current(spark, folder)
+    table = levels.level_dictionary(reference, MANY_LEVELS).withColumn("coefficient", (F.col("position") % 97).cast("double") / 100)
+    model = levels.LevelModel(-0.5, {"amount": (50.0, 40.0, 0.8)}, MANY_LEVELS, table.select("feature_place", "level", "coefficient"))
+    found = levels.level_contributions(current.select("external_id", "amount", *MANY_LEVELS), model)
+    effects = [F.col("contributions")[c].alias(c) for c in ("amount", *MANY_LEVELS)]
+    return rounded(found.select("external_id", *effects, "logit"))
+
+
 @query
 def boosting_first_gains(spark, folder):
     """Gains of the first tree's root by category level, from the histograms of the training rows."""
