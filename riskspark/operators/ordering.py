@@ -238,15 +238,24 @@ def quantiles(
     Rows are reduced to counts per distinct value, which are summed along their
     order over the cluster; the result does not depend on the number of rows.
     """
+    return quantiles_of_counts(value_counts(df, columns, by=by), probabilities, by=by)
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(by..., feature, value, n)``: how often each value of the columns is there; NULL is not counted."""
     by, columns = list(by), list(columns)
-    keys = [*by, "feature"]
-    counts = (
+    return (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot(by, columns, "feature", "value")
         .filter(F.col("value").isNotNull())
-        .groupBy(*keys, "value")
+        .groupBy(*by, "feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float], *, by: Sequence[str] = ()) -> DataFrame:
+    """``quantiles`` from the rows of ``value_counts``."""
+    keys = [*by, "feature"]
     ordered = running_totals(counts, [F.col("value")], ["n"], by=keys)
 
     def holds(place: Column) -> Column:

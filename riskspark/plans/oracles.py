@@ -1173,3 +1173,21 @@ oracle(
     _levels_of("ref"),
     _met,
 )
+
+# -- rolling reference ----------------------------------------------------------------------
+
+# The window after it has moved by five days, read in one pass.
+_rolled = (
+    "ref AS (SELECT * FROM (SELECT *, CAST(occurred_at AS DATE) AS day, min(CAST(occurred_at AS DATE)) OVER () AS first_day FROM txn)"
+    " WHERE day BETWEEN first_day + 5 AND first_day + 24)"
+)
+oracle("rolling_edges", f"SELECT feature, CAST(i AS INTEGER) AS position, {r8('e[i]', 'edge')} FROM (SELECT feature, e, unnest(range(1, len(e) + 1)) AS i FROM edges)", TXN, _rolled, edges())
+oracle(
+    "rolling_summary",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) AS rows, {r8(f'avg({c})', 'mean')}, {r8(f'min({c}::DOUBLE)', 'min')}, {r8(f'quantile_cont({c}::DOUBLE, 0.5)', 'median')}, {r8(f'max({c}::DOUBLE)', 'max')} FROM ref"
+        for c in NUMERIC_FEATURES
+    ),
+    TXN,
+    _rolled,
+)

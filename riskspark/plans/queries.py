@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from riskspark import functions
 from riskspark.contract import DEFAULT_CONTRACT
-from riskspark.operators import encode, explain, investigate, levels, metrics, monitor, profile, split, validate, velocity
+from riskspark.operators import encode, explain, investigate, levels, metrics, monitor, profile, rolling, split, validate, velocity
 from riskspark.operators.ordering import quantiles
 from riskspark.plans import boosting, gate, training
 from riskspark.sources import artifacts, store, tables, testdata
@@ -897,6 +898,34 @@ def psi_edges(spark, folder):
     return rounded(monitor.psi_edges(reference, DEFAULT_CONTRACT.numeric))
 
 
+def _moved_window(spark, folder) -> DataFrame:
+    """Counts of a window of 20 days that began 5 days earlier and was moved from one day to the next."""
+    data = transactions(spark, folder)
+    days = rolling.day_counts(data, DEFAULT_CONTRACT.numeric)
+    path = scratch_path(spark, "days")
+    days.write.partitionBy("day").parquet(path)
+    days = spark.read.schema(days.schema).parquet(path)
+    first = days.agg(F.min("day")).first()[0]
+    span = (first, first + timedelta(days=19))
+    counts = stored(rolling.window(days, span), "window")
+    for step in (2, 3):
+        ahead = tuple(d + timedelta(days=step) for d in span)
+        counts, span = stored(rolling.moved(counts, days, span, ahead), "window"), ahead
+    return counts
+
+
+@query
+def rolling_edges(spark, folder):
+    edges = rolling.window_reference(_moved_window(spark, folder)).edges
+    rows = [(c, i, float(e)) for c, own in edges.items() for i, e in enumerate(own, 1)]
+    return rounded(spark.createDataFrame(rows, "feature string, position int, edge double"))
+
+
+@query
+def rolling_summary(spark, folder):
+    return rounded(rolling.window_summary(_moved_window(spark, folder)))
+
+
 @query
 def psi_bins(spark, folder):
     reference, current = reference_and_current(spark, folder)
