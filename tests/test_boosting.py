@@ -80,7 +80,7 @@ def test_equals_trees_grown_row_by_row(spark, train):
 
 
 def test_partitions_do_not_change_the_model(train):
-    few, many = estimator(rounds=3).fit(train.coalesce(1)), estimator(rounds=3, block_rows=60).fit(train.repartition(9))
+    few, many = estimator(rounds=3).fit(train.coalesce(1)), estimator(rounds=3, block_rows=60, cut=2).fit(train.repartition(9))
     assert [vars(t) for t in few.trees] == [vars(t) for t in many.trees] and few.prior == many.prior
 
 
