@@ -85,11 +85,12 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
     NaN or infinity take no part, nor do rows without an id. Vectors of unequal
     lengths are filled with zeros. Probing goes on until a table's buckets hold
     ``least`` rows, or all: a small table is searched whole. An empty table
-    gives an empty one. Of rows that repeat an id, the smallest vector counts.
+    gives an empty one. Rows that repeat a candidate id are candidates of their
+    own, rows that repeat a query id are one query, the smallest vector of them.
     Other columns are ignored.
     """
-    good = usable(rows, id, vector, nonzero=True).groupBy("vec_id").agg(F.min("v").alias("v"))
-    good = stored(good, "vectors")
+    # Written with a number each, by which a row found in several tables counts once.
+    good = stored(usable(rows, id, vector, nonzero=True).withColumn("row", F.monotonically_increasing_id()), "vectors")
     dimensions = widest(good)
     width = 1 << max(0, (dimensions - 1).bit_length())
     signs = _signs(width, rule)
@@ -102,9 +103,9 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
             for t in range(rule.tables):
                 at = range(0, len(vectors), _ROWS)
                 nearest = np.concatenate([np.zeros(0, np.int64), *[_buckets(vectors[i : i + _ROWS], signs, t).argmax(axis=1) for i in at]]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nearest), t, np.int32)), pa.array(nearest), batch.column(0), batch.column(1)], ["table", "bucket", "vec_id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nearest), t, np.int32)), pa.array(nearest), *batch.columns], ["table", "bucket", "vec_id", "v", "row"])
 
-    index = good.mapInArrow(place, "table int, bucket int, vec_id long, v array<double>")
+    index = good.mapInArrow(place, "table int, bucket int, vec_id long, v array<double>, row long")
     # A bucket's size: one number for each bucket of a table comes to the driver.
     counts = index.groupBy("table", "bucket").count().collect()
     sizes = np.zeros((rule.tables, (2 * width) ** rule.turns), dtype=np.int64)
@@ -130,7 +131,8 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
                     [pa.array(np.full(len(at), t, np.int32)), pa.array(bucket), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["table", "bucket", "vec_id", "v"]
                 )
 
-    probes = good.filter(F.col("vec_id") % rule.every == 0).mapInArrow(probe, "table int, bucket int, vec_id long, v array<double>")
+    asking = good.filter(F.col("vec_id") % rule.every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    probes = asking.mapInArrow(probe, "table int, bucket int, vec_id long, v array<double>")
     probes = stored(probes, "probes")
     asked = np.zeros_like(sizes)
     for t, b, n in probes.groupBy("table", "bucket").count().collect():
@@ -138,16 +140,16 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
     askers = np.maximum(1, -(-asked // rule.queries))
     # Unit (i, j) of a bucket: its i-th part of the candidates meets its j-th part of the queries.
     parts = lambda counts: F.element_at(F.from_json(F.lit(str(counts.ravel().tolist())), "array<int>"), F.col("table") * sizes.shape[1] + F.col("bucket") + 1)
-    own = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
+    own = lambda n, key: F.pmod(F.xxhash64(key), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    as_rows = index.select("table", "bucket", own(parts(splits)).alias("i"), every(parts(askers)).alias("j"), "vec_id", "v")
-    as_queries = probes.select("table", "bucket", every(parts(splits)).alias("i"), own(parts(askers)).alias("j"), "vec_id", "v")
+    as_rows = index.select("table", "bucket", own(parts(splits), "row").alias("i"), every(parts(askers)).alias("j"), "vec_id", "v", "row")
+    as_queries = probes.select("table", "bucket", every(parts(splits)).alias("i"), own(parts(askers), "vec_id").alias("j"), "vec_id", "v")
     keys = ["table", "bucket", "i", "j"]
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, query_ids = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
         if not len(ids) or not len(query_ids):
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "row": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         a = matrix(left.column("v").combine_chunks(), dimensions)
         b = matrix(right.column("v").combine_chunks(), dimensions)
         scores = np.zeros((len(b), len(a)))
@@ -155,11 +157,11 @@ def search(rows: DataFrame, rule: CrossPolytope = CrossPolytope(), *, id: str =
             scores += b[:, d : d + 1] * a[None, :, d]
         scores[query_ids[:, None] == ids[None, :]] = -np.inf
         order = np.argsort(ids, kind="stable")
-        scores, ids = scores[:, order], ids[order]
+        scores, ids, numbers = scores[:, order], ids[order], left.column("row").to_numpy()[order]
         best = np.argsort(-scores, axis=1, kind="stable")[:, : rule.k]
         got = np.take_along_axis(scores, best, axis=1)
         some = got > -np.inf
-        return pa.table({"query_id": np.repeat(query_ids, some.sum(axis=1)), "vec_id": ids[best][some], "score": got[some]})
+        return pa.table({"query_id": np.repeat(query_ids, some.sum(axis=1)), "vec_id": ids[best][some], "row": numbers[best][some], "score": got[some]})
 
-    met = as_rows.groupBy(*keys).cogroup(as_queries.groupBy(*keys)).applyInArrow(rank, "query_id long, vec_id long, score double")
-    return top_rows(met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), rule.k)
+    met = as_rows.groupBy(*keys).cogroup(as_queries.groupBy(*keys)).applyInArrow(rank, "query_id long, vec_id long, row long, score double")
+    return top_rows(met.groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score")), rule.k)

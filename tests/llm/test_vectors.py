@@ -29,6 +29,26 @@ def test_exact_topk(spark, queries):
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
 
 
+def test_large_components_are_summed_exactly(spark):
+    data = [(0, [1.0, 0.5]), (50, [3e14, -7e13])]
+    data += [(i + 1, [x, y]) for i, (x, y) in enumerate([(3e5, 1.0), (2.7e5, -1.0), (4e6, 0.25), (5e6, 3.0), (2.5e11, 9e11), (2.5e11, 9e11 + 1), (-6e13, 8e13), (1e-3, 2e-3)])]
+    data += [(60, [1e300, 1e300])]
+    got = topk.search(spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3), topk.TopK(rows=4)).collect()
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in data}
+    want = []
+    for q in (0, 50):
+        clip = lambda n: max(-(2**63), min(2**63 - 1, n))
+        scored = sorted((-clip(sum(a * b for a, b in zip(whole[q], whole[i]))), i) for i in whole if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+
+
+def test_rows_of_one_id_are_candidates_of_their_own(spark):
+    data = [(0, [1.0, 0.0]), (7, [0.1, 0.9]), (7, [0.99, 0.1]), (8, [0.5, 0.5]), (7, [0.99, 0.1])]
+    got = cross_polytope.search(spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(2)).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 7, 0.99), (0, 2, 7, 0.99), (0, 3, 8, 0.5), (0, 4, 7, 0.1)]
+
+
 def test_bounds_drop_candidates_but_no_answer():
     rng = np.random.default_rng(0)
     columns = rng.integers(-200, 200, (64, 500))
