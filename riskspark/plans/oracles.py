@@ -1191,3 +1191,62 @@ oracle(
     TXN,
     _rolled,
 )
+
+
+# -- drift by day ---------------------------------------------------------------------------
+
+_MEASURED = (*NUMERIC_FEATURES, "probability")
+# A day is closed when the newest time lies a day past its end.
+_day_parts = (
+    "ref AS (SELECT *, p AS probability FROM parted WHERE split = 'train'),"
+    " days AS (SELECT * FROM (SELECT *, p AS probability, CAST(occurred_at AS DATE) AS day, max(occurred_at) OVER () AS newest FROM parted WHERE split = 'validation')"
+    " WHERE day < CAST(newest - INTERVAL 1 DAY AS DATE))"
+)
+
+
+def _day_values(columns, cast: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT CAST({day} AS DATE) AS day, '{c}' AS feature, CAST({c} AS {cast}) AS v FROM {source}"
+        for c in columns
+        for day, source in (("NULL", "ref"), ("day", "days"))
+    )
+
+
+def _day_shares(values: str, value: str, name: str) -> str:
+    """Shares of every value of either side, for the reference (r) and each day (c)."""
+    return (
+        f"{name}_counts AS (SELECT day, feature, {value} AS value, count(*) AS n FROM {values} GROUP BY ALL),"
+        f" {name}_shares AS (SELECT *, n / sum(n) OVER (PARTITION BY day, feature) AS share FROM {name}_counts),"
+        f" {name}_grid AS (SELECT d.day, v.feature, v.value FROM (SELECT DISTINCT day FROM days) d, (SELECT DISTINCT feature, value FROM {name}_counts) v),"
+        f" {name}_met AS (SELECT g.day, g.feature, g.value, coalesce(r.share, 0) AS r, coalesce(c.share, 0) AS c FROM {name}_grid g"
+        f" LEFT JOIN {name}_shares r ON r.day IS NULL AND r.feature = g.feature AND r.value = g.value"
+        f" LEFT JOIN {name}_shares c ON c.day = g.day AND c.feature = g.feature AND c.value = g.value)"
+    )
+
+
+_NO_LONG, _NO_DOUBLE = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
+oracle(
+    "daily_drift",
+    f"SELECT day, feature, {r8('psi', 'drift')}, {level('psi')} AS level, rows, {_NO_LONG} AS refused, CASE WHEN feature = 'probability' THEN alerts END AS alert_count, {r8('reference_mean', 'reference_mean')},"
+    f" {r8('mean', 'current_mean')}, {r8('median', 'current_median')}, {r8('p95', 'current_p95')}, {_NO_LONG} AS new_categories, {_NO_LONG} AS missing_categories FROM numbers"
+    f" UNION ALL SELECT day, feature, {r8('tvd', 'drift')}, {level('tvd')}, rows, NULL, NULL, NULL, NULL, NULL, NULL, new_categories, missing_categories FROM texts"
+    f" UNION ALL SELECT day, NULL, {_NO_DOUBLE}, status, rows, 0, alerts, NULL, NULL, NULL, NULL, NULL, NULL FROM whole",
+    TXN,
+    PARTED,
+    _day_parts,
+    edges(_MEASURED),
+    f"day_long AS ({_day_values(_MEASURED, 'DOUBLE')}),"
+    " day_binned AS (SELECT day, feature, v, len(list_filter(e, lambda x: x <= v)) AS bin FROM day_long JOIN edges USING (feature))",
+    _day_shares("day_binned", "bin", "bin"),
+    f"day_texts AS ({_day_values(CATEGORICAL_FEATURES, 'VARCHAR')})",
+    _day_shares("day_texts", "v", "text"),
+    "numbers AS (SELECT * FROM (SELECT day, feature, sum((c - r) * ln((c + 1e-6) / (r + 1e-6))) AS psi FROM bin_met GROUP BY ALL)"
+    " JOIN (SELECT day, feature, count(*) AS rows, avg(v) AS mean, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.95) AS p95 FROM day_long WHERE day IS NOT NULL GROUP BY ALL) USING (day, feature)"
+    " JOIN (SELECT feature, avg(v) AS reference_mean FROM day_long WHERE day IS NULL GROUP BY ALL) USING (feature)"
+    " JOIN (SELECT day, count(*) FILTER (WHERE p >= " + str(FIXED_MODEL.threshold) + ") AS alerts FROM days GROUP BY day) USING (day))",
+    "texts AS (SELECT * FROM (SELECT day, feature, 0.5 * sum(abs(r - c)) AS tvd, count(*) FILTER (WHERE r = 0 AND c > 0) AS new_categories, count(*) FILTER (WHERE r > 0 AND c = 0) AS missing_categories FROM text_met GROUP BY ALL)"
+    " JOIN (SELECT day, count(*) AS rows FROM days GROUP BY day) USING (day))",
+    "worst AS (SELECT day, max(psi) AS drift FROM numbers GROUP BY day UNION ALL SELECT day, max(tvd) FROM texts GROUP BY day),"
+    " whole AS (SELECT day, max(rows) AS rows, max(alerts) AS alerts, any_value(status) AS status FROM numbers"
+    " JOIN (SELECT day, CASE WHEN max(drift) >= 0.25 THEN 'critical' WHEN max(drift) >= 0.10 THEN 'warning' ELSE 'healthy' END AS status FROM worst GROUP BY day) USING (day) GROUP BY day)",
+)

@@ -19,7 +19,7 @@ from riskspark.plans import boosting, gate, training
 from riskspark.sources import artifacts, store, tables, testdata
 from riskspark.sources.scratch import scratch_path, stored
 from riskspark.sources.testdata import transactions
-from riskspark.streaming import jobs, state
+from riskspark.streaming import daily, jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1068,6 +1068,21 @@ def monitor_stream(spark, folder):
     return rounded(flat_sections(spark.read.schema("section string, json string, batch int").parquet(output)))
 
 
+@query
+def daily_drift(spark, folder):
+    """Days of the validation rows, whose halves arrive one after the other: the second opens the closed days again."""
+    reference, current = reference_and_current(spark, folder)
+    source, output, progress = (scratch_path(spark, n) for n in ("arriving", "daily", "progress"))
+    score = lambda df: df.withColumn("probability", F.col("p"))
+    known = monitor.reference_profile(reference, score, FIXED_MODEL.threshold)
+    current = stored(current, "validation")
+    for part in (current.filter("k >= 50"), current.filter("k < 50")):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(current.schema).parquet(source)
+        daily.daily_drift_stream(stream, known, score, FIXED_MODEL.threshold, output, progress).awaitTermination()
+    return rounded(daily.daily_reports(spark, output).drop("batch"))
+
+
 @query
 def velocity_stream(spark, folder):
     """Look-back columns of three parts that arrive one after another, from state kept between the runs."""
