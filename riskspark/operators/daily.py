@@ -18,6 +18,7 @@ from riskspark.functions import drift_level, is_finite, micros_of, ratio
 from riskspark.operators.monitor import PSI_EPSILON, ReferenceProfile, bin_of, overall_status
 from riskspark.operators.ordering import quantiles_of_counts
 from riskspark.operators.validate import require_features
+from riskspark.sources.scratch import stored
 
 MICROS_A_DAY = 86_400_000_000
 PROBABILITY = "probability"
@@ -72,6 +73,7 @@ def _numeric(counts: DataFrame, known: ReferenceProfile, threshold: float) -> Da
     binned = values.groupBy("day", "feature", number.alias("bin")).agg(
         F.sum("n").alias("count"), F.sum(F.col("number") * F.col("n")).alias("sum"), F.sum(F.when(alert, F.col("n"))).alias("alerts")
     )
+    binned = stored(binned, "day-bins")
     # Sizes of what follows: days x features x bins.
     totals = binned.groupBy("day", "feature").agg(
         F.sum("count").alias("rows"), (F.sum("sum") / F.sum("count")).alias("current_mean"), F.sum("alerts").alias("alert_count")
@@ -136,12 +138,14 @@ def day_reports(counts: DataFrame, known: ReferenceProfile, threshold: float) ->
     ``counts`` may hold the counts of several batches. Refused rows make a day's
     quality a warning. A day whose rows are all refused has no feature rows.
     """
-    counts = counts.groupBy("day", "feature", "number", "text").agg(F.sum("n").alias("n"))
+    # Written where several branches read on, so that no branch carries the plan of all before it.
+    counts = stored(counts.groupBy("day", "feature", "number", "text").agg(F.sum("n").alias("n")), "day-counts")
     features = (
         _numeric(counts, known, threshold)
         .unionByName(_categorical(counts, known), allowMissingColumns=True)
         .withColumn("level", drift_level(F.col("drift")))
     )
+    features = stored(features, "day-features")
     score = F.col("feature") == PROBABILITY
     refused = counts.filter(F.col("feature").isNull()).select("day", F.col("n").alias("refused"))
     days = features.groupBy("day").agg(

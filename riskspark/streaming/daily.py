@@ -87,7 +87,7 @@ def daily_drift_stream(
             touched = spark.read.schema(COUNTS_SCHEMA).parquet(counts).select("day").distinct()
             again = log.filter(F.col("day") <= F.lit(last)).join(touched, "day", "left_semi")
             due = log.filter(F.col("day") > F.lit(last)).unionByName(again)
-        report = day_reports(stored(due.select("day", "feature", "number", "text", "n"), "due"), known, threshold)
+        report = day_reports(due.select("day", "feature", "number", "text", "n"), known, threshold)
         report.write.mode("overwrite").parquet(place)
 
     writer = current.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
