@@ -52,13 +52,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # The text itself stays behind: only its hash, size and checksum move.
-    placed = sharding.shard(rows.withColumn("text_crc32", F.crc32("text")), drop_text=True)
+    # Whole rows move; the checksum is that of the text that arrived.
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select(
         "doc_id",
         F.col("_size").alias("size"),
-        "text_crc32",
+        F.crc32("text").alias("text_crc32"),
         F.lit("bytes").alias("law"),
         F.col("_shard").alias("shard"),
         F.col("_slot").alias("slot"),

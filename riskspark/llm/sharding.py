@@ -118,7 +118,7 @@ def histogram(keys: DataFrame, shards: int, tolerance: float, partitions: int) -
     return buckets, splits
 
 
-def shard(docs: DataFrame, shards: int = 16, *, id: str = "doc_id", text: str = "text", tolerance: float = 0.005, drop_text: bool = False) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 16, *, id: str = "doc_id", text: str = "text", tolerance: float = 0.005) -> DataFrame:
     """All rows and columns with ``_size``, ``_shard`` (0 to ``shards`` - 1) and ``_slot`` (gapless from 0).
 
     Law ``bytes``: sizes (UTF-8 bytes of the text, plus 1) of the shards differ
@@ -128,12 +128,11 @@ def shard(docs: DataFrame, shards: int = 16, *, id: str = "doc_id", text: str =
     text is a text of no bytes, a NULL id sorts first; rows with the same text
     and id stay together. An empty table gives an empty one. The id must be a
     whole number; columns of ``docs`` named like the three are replaced.
-    ``drop_text`` moves the rows without the text.
     """
     ours = ("_h", "_d", "_size", "_shard", "_slot", "_pid")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
     rows = docs.select(
-        *[c for c in docs.columns if c not in ours and not (drop_text and c == text)],
+        *[c for c in docs.columns if c not in ours],
         F.xxhash64(text).alias("_h"),
         F.coalesce(F.col(id).cast("long"), F.lit(_LOW)).alias("_d"),
         size.alias("_size"),
