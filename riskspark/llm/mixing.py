@@ -147,6 +147,14 @@ def _rates(rows: DataFrame, plan: Mixing) -> DataFrame:
     return known
 
 
+def _numbered(docs: DataFrame, plan: Mixing, id: str, source: str, text: str) -> tuple[DataFrame, str, DataFrame]:
+    """The rows written once with a number each, that number's column, and what ``copies`` finds by ``_row``."""
+    row, size = fresh(docs, "_row"), fresh(docs, "_words")
+    held = stored(docs.withColumns({row: F.monotonically_increasing_id(), size: word_count(F.col(text))}), "mixed-rows")
+    narrow = held.select(F.col(source).alias("_source"), F.col(size).alias("_size"), F.col(id).alias("_id"), F.col(row).alias("_row"))
+    return held, row, _sampled(narrow, plan)
+
+
 def mix(docs: DataFrame, plan: Mixing = Mixing(), *, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The mixed rows, with the columns of ``docs``; a document taken n times appears n times.
 
@@ -154,10 +162,22 @@ def mix(docs: DataFrame, plan: Mixing = Mixing(), *, id: str = "doc_id", source:
     ranked; the texts move once, to meet their copies, and are never sorted.
     NULLs, repeats and empty tables as in ``copies``.
     """
-    row, size, taken, copy = (fresh(docs, c) for c in ("_row", "_words", "_taken", "_copy"))
-    held = stored(docs.withColumns({row: F.monotonically_increasing_id(), size: word_count(F.col(text))}), "mixed-rows")
-    narrow = held.select(F.col(source).alias("_source"), F.col(size).alias("_size"), F.col(id).alias("_id"), F.col(row).alias("_row"))
-    wanted = _sampled(narrow, plan).filter("_copies > 0").select(F.col("_row").alias(taken), F.sequence(F.lit(1), F.col("_copies")).alias(copy))
+    held, row, sampled = _numbered(docs, plan, id, source, text)
+    taken, copy = fresh(held, "_taken"), fresh(held, "_copy")
+    wanted = sampled.filter("_copies > 0").select(F.col("_row").alias(taken), F.sequence(F.lit(1), F.col("_copies")).alias(copy))
     # Row numbers are unique, so each task's share of the narrow side fits its memory.
     met = held.join(wanted.hint("shuffle_hash"), F.col(row) == F.col(taken))
     return met.select(*docs.columns, F.explode(copy).alias(copy)).select(*docs.columns)
+
+
+def marked(docs: DataFrame, plan: Mixing = Mixing(), *, id: str = "doc_id", source: str = "source", text: str = "text", name: str = "_mix") -> DataFrame:
+    """All rows and columns of ``docs``, moved as ``mix`` moves them, and ``name``: struct of ``source_size``, ``target`` and ``copies``.
+
+    Rows that the mix leaves out have 0 copies. A column called ``name`` is
+    replaced. NULLs, repeats and empty tables as in ``copies``.
+    """
+    held, row, sampled = _numbered(docs, plan, id, source, text)
+    of, mark = fresh(held, "_of"), fresh(held, "_mark")
+    facts = F.struct(F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"))
+    met = held.join(sampled.select(F.col("_row").alias(of), facts.alias(mark)).hint("shuffle_hash"), F.col(row) == F.col(of))
+    return met.select(*[c for c in docs.columns if c != name], F.col(mark).alias(name))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm import chat, cross_polytope, kneser_ney, language, lexical, merkle, mixing, pieces, pii, sharding, simhash, sql, topk, toxicity
-from riskspark.llm.common import fold, table
+from riskspark.llm.common import fold, table, word_count
 
 #: Model file of the tokenizer; SENTENCEPIECE_MODEL names another one.
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -32,14 +32,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taken = mixing.copies(table(spark, sf_dir, "documents"))
-    return taken.select(
-        F.col("_id").alias("doc_id"),
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("_copies") * F.col("_size")).cast("long").alias("taken"),
-    )
+    # Whole rows move; sizes are those of the texts that arrived.
+    rows = mixing.marked(table(spark, sf_dir, "documents"))
+    size = word_count(F.col("text"))
+    return rows.select("doc_id", size.alias("size"), "_mix.source_size", "_mix.target", (F.col("_mix.copies") * size).cast("long").alias("taken"))
 
 
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
