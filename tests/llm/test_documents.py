@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskspark.llm import kneser_ney, language, mixing, pieces, queries, sharding, simhash, toxicity
@@ -344,3 +345,16 @@ def test_toxicity_held_out(spark):
     assert found["score"].between(0, 1).all()
     clean, toxic = found[found["toxic"] == 0], found[found["toxic"] == 1]
     assert clean["predicted"].mean() < 0.03 and toxic["predicted"].mean() > 0.7
+
+
+def test_marked_rows_are_those_that_the_mix_takes(spark):
+    rows = [(i, "ab c " * (1 + i % 7) if i % 9 else None, "abc"[i % 3] if i % 5 else None, "kept") for i in range(300)] + [(7, "x", "a", "kept")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _row string").withColumn("_mix", F.lit("replaced"))
+    got = mixing.marked(docs)
+    assert got.columns == docs.columns and got.count() == len(rows) and got.filter("_row = 'kept'").count() == len(rows)
+    times = {}
+    for r in mixing.mix(docs.drop("_mix")).collect():
+        times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
+    taken = {r["doc_id"]: r["n"] for r in got.groupBy("doc_id").agg(F.sum("_mix.copies").alias("n")).filter("n > 0").collect()}
+    assert taken == times
+    assert mixing.marked(docs.limit(0)).count() == 0
