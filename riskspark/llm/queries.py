@@ -64,7 +64,7 @@ def op7_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = kneser_ney.judge(docs, kneser_ney.trusted_ids(table(spark, sf_dir, "labels")))
-    return judged.select("doc_id", "lang", "_quality.*")
+    return judged.select(F.col("id").alias("doc_id"), "lang", "perplexity", "threshold", "accepted")
 
 
 def op9_cross_polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Document operators against brute force, exact round trips and held-out labels."""
 
+import hashlib
 import itertools
 import math
 import os
@@ -259,14 +260,13 @@ def test_scored_pieces_take_the_cheapest_path():
 # -- quality ------------------------------------------------------------------
 
 
-def plain_model(texts, rule):
+def plain_model(texts):
     """Interpolated modified Kneser-Ney over characters, straight from the definition."""
-    start = chr(2)
-    letters = [c for c, _ in sorted(Counter("".join(texts)).items(), key=lambda x: (-x[1], x[0]))[: rule.alphabet]]
-    name = lambda c: c if c in letters or c == start else None
+    start = "start"
+    letters = set("".join(texts))
     three = Counter()
     for t in texts:
-        line = [start, start, *map(name, t)]
+        line = [start, start, *t]
         three.update(zip(line, line[1:], line[2:]))
     two = Counter((b, c) for _, b, c in three)
     one = Counter(c for _, c in two)
@@ -298,22 +298,46 @@ def plain_model(texts, rule):
         return ((own[c] - off(d3, own[c]) if c in own else 0) + sum(off(d3, v) for v in own.values()) * p2(b, c)) / sum(own.values())
 
     def nats(t):
-        line = [start, start, *map(name, t)]
+        line = [start, start, *t]
         return -sum(math.log(p3(*x)) for x in zip(line, line[1:], line[2:]))
 
     return nats
 
 
-def test_perplexity_equals_the_definition(spark):
-    rule = kneser_ney.Perplexity(alphabet=8)
-    good = ["abracadabra alakazam", "a cab, a crab, a scab", "", "bazaar zebra", "cc"]
+@pytest.mark.parametrize("block", [1 << 20, 1, 2, 7])
+def test_perplexity_equals_the_definition(spark, monkeypatch, block):
+    """Mixed scripts, every character told apart; several shards, copies and blocks, and texts cut by them."""
+    if block < 1 << 20:
+        for name, value in (("_SLICE", block), ("_SHARD", 32), ("_CHUNK", 5), ("_UNIT", 2)):
+            monkeypatch.setattr(kneser_ney, name, value)
+    good = ["abracadabra alakazam", "a cab, a crab, a scab", "", "bazaar zebra", "cc", "東京都と京都", "京都の東", "мама мыла раму", "\x02a \U0001f600", None]
     docs = spark.createDataFrame([(t,) for t in good], "text string")
-    model = kneser_ney.train(docs, rule)
-    nats = plain_model(good, rule)
-    texts = ["abba", "zzz!", "", "a scab alakazam", "qqqqq"]
-    rows = kneser_ney.score(spark.createDataFrame([(t,) for t in texts], "text string"), model, "m").select("text", "m.*").collect()
-    for row in rows:
-        assert math.isclose(row["nats"], nats(row["text"]), rel_tol=1e-5, abs_tol=1e-9) and row["chars"] == len(row["text"])
+    nats = plain_model([t or "" for t in good])
+    texts = ["abba", "zzz!", "", "a scab alakazam", "qqqqq", None, "京都東 рама", "\U0001f600\U0001f601", "\x02", "  a"] + ["a scab"] * 3
+    rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(2)
+    got = {r["id"]: r for r in kneser_ney.score(rows, kneser_ney.train(docs)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert math.isclose(got[i]["nats"], nats(t or ""), rel_tol=1e-6, abs_tol=1e-9) and got[i]["chars"] == len(t or "")
+
+
+def test_kept_rows_are_the_accepted(spark):
+    """Names that the operator uses itself, equal ids, missing values, columns of any type."""
+    names = ("_mark", "_digest", "_out", "_out_id", "_out_lang", "_out_digest", "id", "digest", "row", "_good", "_limit", "shard", "copy", "key")
+    good = ["the cat is on the mat", "the dog is in the house", "a cat and a dog", "the house is on the hill", "a dog on a mat"]
+    odd = ["xq zv kj qq", "@@@ ### $$$", "", None]
+    rows = [(i if i % 5 else None, t, ["en", None][i % 2]) for i, t in enumerate((good + odd) * 4)] + [(8, good[0], "en"), (998, "zzkq", "en")]
+    docs = spark.createDataFrame([(*r, {"m": 1}, *[7] * len(names)) for r in rows], "doc_id long, text string, lang string, extra map<string,int>, " + ", ".join(f"`{n}` int" for n in names))
+    ids = spark.createDataFrame([(i,) for i, t, _ in rows[:-2] if t in good and i is not None], "doc_id long").distinct()
+    kept = kneser_ney.keep(docs.repartition(3), ids, kneser_ney.Perplexity(shrink=2.0))
+    assert kept.columns == docs.columns
+    judged = kneser_ney.judge(docs.repartition(3), ids, kneser_ney.Perplexity(shrink=2.0)).toPandas()
+    assert len(judged) == len(rows) and judged["accepted"].any() and not judged["accepted"].all()
+    verdict = {(None if i != i else i, x, d): a for i, x, d, a in zip(judged["id"], judged["lang"].where(judged["lang"].notna(), None), judged["digest"], judged["accepted"])}
+    digest = lambda t: None if t is None else hashlib.md5(t.encode()).hexdigest()
+    want = Counter(r for r in rows if verdict[r[0], r[2], digest(r[1])])
+    assert Counter((r["doc_id"], r["text"], r["lang"]) for r in kept.collect()) == want
+    assert not any(t in odd or t == "zzkq" for _, t, _ in want)
 
 
 @given
