@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm import kneser_ney, mixing, pieces, simhash, toxicity
-from riskspark.llm.common import fresh, table
+from riskspark.llm.common import table
 from riskspark.llm.queries import MODEL
 from riskspark.sources.scratch import job, stored
 
@@ -24,9 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within their language's perplexity stay; texts NULL or empty go."""
-    mark = fresh(docs, "_quality")
-    judged = kneser_ney.judge(docs, kneser_ney.trusted_ids(table(spark, sf_dir, "labels")), name=mark)
-    return judged.filter(F.col(f"{mark}.accepted")).select(*docs.columns)
+    return kneser_ney.keep(docs, kneser_ney.trusted_ids(table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
