@@ -44,7 +44,7 @@ from riskspark.operators.split import (
 )
 from riskspark.plans.boosting import Boosting, LeafwiseBoosting, LeafwiseModel
 from riskspark.sources.artifacts import LoadedModel, load_model, save_model, utc_now
-from riskspark.sources.scratch import job, stored, use_checkpoints
+from riskspark.sources.scratch import job, scratch_path, stored, use_checkpoints
 
 # Model names in comparison order, and their settings.
 LOGISTIC = "Logistic Regression"
@@ -157,7 +157,21 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     spark = train.sparkSession
     use_checkpoints(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return pipeline.fit(train.repartition(parts, ORDER).sortWithinPartitions(ORDER))
+    return _without_summary(pipeline.fit(train.repartition(parts, ORDER).sortWithinPartitions(ORDER)))
+
+
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """The fitted pipeline with its last stage as it is when saved and read back.
+
+    A training summary holds the session, and the functions that score send it
+    to the executors; that fails once the session has observed a table.
+    """
+    last = model.stages[-1]
+    if not getattr(last, "hasSummary", False):
+        return model
+    path = scratch_path(SparkSession.active(), "stage")
+    last.save(path)
+    return PipelineModel([*model.stages[:-1], type(last).load(path)])
 
 
 def largest_gradient(pipeline: PipelineModel, train: DataFrame, contract: Contract = DEFAULT_CONTRACT) -> DataFrame:

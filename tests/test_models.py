@@ -3,6 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskspark import DEFAULT_CONTRACT, ContractError
@@ -186,3 +187,13 @@ def test_monitoring_with_a_stored_model(spark, table, loaded):
     report = training.monitor(reference, current, loaded)
     assert report.summary.first()["artifact_version"] == training.ARTIFACT_VERSION
     assert report.performance.first()["predicted_positive_count"] == report.scores.first()["alert_count"]
+
+
+@pytest.mark.parametrize("name", [training.LOGISTIC, training.FOREST])
+def test_models_score_after_the_session_observed_a_table(spark, table, name):
+    seen = Observation("rows")
+    table.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 600
+    split = training.prepared_split(table)
+    models = training.fit_models(split, [name], trees=3)
+    assert training.score_models(split, models).count() == 600
