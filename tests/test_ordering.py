@@ -178,3 +178,12 @@ def test_a_huge_amount_leaves_later_averages_alone(spark):
     df = spark.createDataFrame(rows, "external_id long, customer_id string, occurred_at timestamp, amount double")
     got = {r["external_id"]: r["avg_amount_last_30d"] for r in velocity_features(df).collect()}
     assert [got[i] for i in range(5)] == amounts
+
+
+def test_velocity_moves_the_rows_once_for_both_periods(spark):
+    rows = [(i, f"c{i % 3}", dt.datetime(2025, 1, 1) + dt.timedelta(hours=7 * i), float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "external_id long, customer_id string, occurred_at timestamp_ntz, amount double")
+    plan = velocity_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 6
+    # The instant is worked out once per row, not once per comparison of a sort.
+    assert not [line for line in plan.splitlines() if "Sort [" in line and "datediff" in line]
