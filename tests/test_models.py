@@ -197,3 +197,12 @@ def test_models_score_after_the_session_observed_a_table(spark, table, name):
     split = training.prepared_split(table)
     models = training.fit_models(split, [name], trees=3)
     assert training.score_models(split, models).count() == 600
+
+
+def test_the_forest_keeps_the_nodes_of_its_rows_and_its_trees(spark, table):
+    train = training.training_rows(training.prepared_split(table))
+    pipelines = [training.forest_pipeline(trees=5) for _ in range(2)]
+    assert all(p.getStages()[-1].getCacheNodeIds() for p in pipelines)
+    pipelines[1].getStages()[-1].setCacheNodeIds(False)
+    kept, walked = [training.fit(p, train).stages[-1].toDebugString.split("\n", 1)[1] for p in pipelines]
+    assert kept == walked
