@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from riskspark.operators.velocity import velocity_features
@@ -137,3 +138,109 @@ def test_late_rows_and_quiet_customers(spark, tmp_path, rocks):
     assert got["t1"]["transactions_last_24h"] == 2  # and the earlier answer stays
     assert got["t4"]["transactions_last_24h"] == 1 and got["t4"]["avg_amount_last_30d"] == 1.0
     assert "t5" not in got  # later than the watermark
+
+
+class Kept:
+    """State of one customer in memory, whose calls are counted."""
+
+    def __init__(self):
+        self.value, self.entries, self.timers, self.calls = None, {}, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.entries[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.entries[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.entries[key]
+
+    def clear(self):
+        self.value = None
+        self.entries.clear()
+
+
+class Times:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def looked_back(kept, rows, watermark=0):
+    """Answers of a micro-batch of ``(id, micros, amount)``."""
+    processor = state.LookBack(["c0"])
+    processor.init(kept)
+    given = Row("c0", "micros", "amount", "no_amount")
+    out = processor.handleInputRows(("c",), iter([given(i, at, amount or 0.0, amount is None) for i, at, amount in rows]), Times(watermark))
+    return {i: (n, mean) for packed in out for i, n, mean in zip(packed.c0, packed.activity, packed.average)}
+
+
+def test_a_customer_of_few_rows_costs_few_state_calls():
+    kept, hour = Kept(), 3_600_000_000
+    got = looked_back(kept, [(i, i * 7 * hour, 2.0) for i in range(60)])
+    assert [got[i] for i in range(60)] == [(min(i, 3) + 1, 2.0) for i in range(60)]
+    assert kept.calls <= 3 and not kept.entries
+    assert looked_back(kept, [(60, 60 * 7 * hour, 5.0)])[60] == (4, 125 / 61)
+    assert kept.calls <= 5 and len(kept.timers) == 1
+
+
+@pytest.mark.parametrize("few", [0, 40, 10_000])
+def test_moved_hours_give_the_same(monkeypatch, few):
+    monkeypatch.setattr(state, "_FEW", few)
+    hour, kept = 3_600_000_000, Kept()
+    odd = {11: None, 70: float("nan"), 200: float("inf"), 201: float("-inf"), 5: 1e17}
+    rows = [(i, i * i * 90_000_000 % (5 * hour) + i * 2 * hour + (0 if i % 9 else hour // 3), odd.get(i, i * 0.37)) for i in range(420)]
+    rows += [(1000 + i, rows[300][1], 4.0) for i in range(3)] + [(2000, None, 7.0), (2001, None, None)]
+    asked = [rows[:200], rows[200:201], rows[201:]]
+    got, seen = {}, []
+    for part in asked:
+        seen += part
+        got |= looked_back(kept, part)
+        for i, at, _ in part:
+            span = lambda hours: [a for _, t, a in seen if (t is None) if at is None] or [a for _, t, a in seen if at is not None and t is not None and at - hours * hour <= t <= at]  # noqa: E731, B023
+            amounts = [a for a in span(720) if a is not None]
+            assert got[i][0] == len(span(24))
+            if not amounts:
+                assert got[i][1] is None
+            else:
+                assert same(got[i][1], sum(amounts) / len(amounts)), (i, got[i])
+    assert bool(kept.entries) == (few < 100)
+
+
+def test_hours_and_quiet_customers_are_forgotten(monkeypatch):
+    hour, kept = 3_600_000_000, Kept()
+    monkeypatch.setattr(state, "_FEW", 3)
+    looked_back(kept, [(i, i * hour, 1.0) for i in range(6)])
+    assert len(kept.entries) == 6
+    got = looked_back(kept, [(6, 730 * hour, 3.0)], watermark=729 * 3_600_000)
+    assert got == {6: (1, 3.0)} and not kept.entries
+    processor = state.LookBack(["c0"])
+    processor.init(kept)
+    # The first timer finds a later row and sets another one, which clears.
+    processor.handleExpiredTimer(("c",), Times(800 * 3_600_000), None)
+    assert kept.value and kept.timers[-1] == (730 + 721) * 3_600_000
+    processor.handleExpiredTimer(("c",), Times(1500 * 3_600_000), None)
+    assert kept.value is None
