@@ -114,3 +114,11 @@ def test_in_a_comparison(spark, train):
     assert sum(pipeline.stages[-1].featureImportances) == pytest.approx(1.0)
     scored = training.positive_probability(train, pipeline)
     assert scored.columns == [*train.columns, "probability", "logit"]
+
+
+def test_tasks_of_a_pass_do_not_grow_with_the_rows(spark, train):
+    few = estimator(block_rows=5)
+    rows = few.state(train, few.layout(train))[0]
+    assert rows.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism < 700 // 5
+    assert sum(len(b.label) for b in rows.collect()) == train.count()
+    rows.unpersist()
