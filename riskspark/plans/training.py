@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import platform
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 import pyspark
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
@@ -186,10 +188,25 @@ def largest_gradient(pipeline: PipelineModel, train: DataFrame, contract: Contra
     label = F.col(contract.target).cast("double")
     residual = F.col(WEIGHT) * (vector_to_array(F.col("probability"))[1] - label)
     rows = pipeline.transform(train).select(residual.alias("_residual"), vector_to_array(FEATURES).alias("_x"))
-    # The last place is the intercept's, which has no penalty.
-    terms = rows.select("_residual", F.posexplode(F.concat("_x", F.array(F.lit(1.0)))).alias("place", "x"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per place of a task's rows, not one per place of each row."""
+        loss, count = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)[known]
+            r = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
+            # The last place is the intercept's, which has no penalty.
+            more = np.append(r @ x, r.sum())
+            loss, count = more if loss is None else loss + more, count + batch.num_rows
+        if loss is not None:
+            yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(loss)), pa.int32()), "loss": loss, "rows": pa.array([count] * len(loss), pa.int64())})
+
+    terms = rows.mapInArrow(each, "place int, loss double, rows long")
     penalty = F.element_at(F.lit([*map(float, classifier.coefficients), 0.0]), F.col("place") + 1)
-    sums = terms.groupBy("place").agg(F.sum(F.col("_residual") * F.col("x")).alias("loss"), F.count(F.lit(1)).alias("rows"))
+    sums = terms.groupBy("place").agg(F.sum("loss").alias("loss"), F.sum("rows").alias("rows"))
     return sums.agg(F.max(F.abs(F.col("loss") + penalty) / F.col("rows")).alias("largest"))
 
 

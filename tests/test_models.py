@@ -206,3 +206,11 @@ def test_the_forest_keeps_the_nodes_of_its_rows_and_its_trees(spark, table):
     pipelines[1].getStages()[-1].setCacheNodeIds(False)
     kept, walked = [training.fit(p, train).stages[-1].toDebugString.split("\n", 1)[1] for p in pipelines]
     assert kept == walked
+
+
+def test_gradient_makes_no_row_per_input_of_a_row(spark):
+    train = training.training_rows(training.prepared_split(transactions(spark, 700)))
+    fitted = training.fit(training.logistic_pipeline(train, train.count()), train)
+    found = training.largest_gradient(fitted, train)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.first()["largest"] < 1e-5
