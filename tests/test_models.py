@@ -2,13 +2,15 @@ import json
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskspark import DEFAULT_CONTRACT, ContractError
 from riskspark.operators import encode, explain, investigate
-from riskspark.plans import training
+from riskspark.plans import forest, training
 from riskspark.sources import artifacts
 from tests.samples import transactions
 
@@ -214,3 +216,47 @@ def test_gradient_makes_no_row_per_input_of_a_row(spark):
     found = training.largest_gradient(fitted, train)
     assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.first()["largest"] < 1e-5
+
+
+def test_blocks_grow_the_trees_of_sparks_own_passes(spark, monkeypatch):
+    """Several partitions, blocks and groups of nodes; numbers, pairs, missing categories and features that never vary."""
+    table = transactions(spark, 900).withColumn("hour", F.lit(3)).withColumn(
+        "channel", F.when(F.col("amount") > 40, F.col("channel"))
+    )
+    train = training.training_rows(training.prepared_split(table))
+    monkeypatch.setattr(forest, "_PIECE_BINS", 300)
+    models = []
+    for keep, rows in ((True, 40), (False, 50_000)):
+        pipeline = training.forest_pipeline(trees=3)
+        # With no memory every node is a group of its own.
+        stage = pipeline.getStages()[-1].setCacheNodeIds(keep).setMaxMemoryInMB(0)
+        monkeypatch.setattr(forest, "_BLOCK_ROWS", rows)
+        models.append(training.fit(Pipeline(stages=[*pipeline.getStages()[:-1], stage.setMaxDepth(2)]), train))
+    texts = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in models]
+    assert texts[0] == texts[1] and texts[0].count("If") > 2
+    assert len({tuple(m.stages[-1].featureImportances.toArray()) for m in models}) == 1
+    scores = [
+        [(r["external_id"], r["probability"], r["logit"]) for r in training.positive_probability(table, m).orderBy("external_id").collect()]
+        for m in models
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_the_forest_keeps_less_than_a_byte_for_each_tree_of_a_row(spark):
+    """What the blocks hold of a row: half a byte for its copies per tree, and its codes, label and weight."""
+    rows, trees = 1001, 300
+    coding = forest.Coding((32,) * 7 + (2,) * 43, tuple(range(7, 50)), trees)
+    draw = np.random.default_rng(1)
+    codes = np.concatenate([draw.integers(0, 32, (rows, 7)), draw.integers(0, 2, (rows, 43))], axis=1)
+    copies, label, weight = draw.poisson(1.0, (rows, trees)), draw.integers(0, 2, rows), draw.random(rows)
+    parts = (codes.astype("<i4"), label.astype("<f8"), weight, np.ones(rows), np.zeros((rows, 3), np.uint8), copies.astype("<i4"))
+    records = np.concatenate([p.reshape(rows, -1).view(np.uint8) for p in parts], axis=1)
+    for most in (15, 16):
+        records[0, -4:] = np.array([most], "<i4").view(np.uint8)
+        copies[0, -1] = most
+        column = pa.array([r.tobytes() for r in records], pa.binary())
+        (block,) = forest._blocks(iter([pa.RecordBatch.from_arrays([column], ["value"])]), coding)
+        assert most > 15 or block.nbytes < 180 * rows
+        got = forest._opened(tuple(block.to_pylist()[0].values()), coding)
+        for one, other in zip(got, (codes, copies.T, label, weight), strict=True):
+            assert (one == other).all()
